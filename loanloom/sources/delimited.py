@@ -31,14 +31,24 @@ def read_csv(
 
 
 def write_csv(
-    df: DataFrame, path: str, sep: str = ",", header: bool = True, mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    sep: str = ",",
+    header: bool = True,
+    mode: str = "errorifexists",
+    **options,
 ) -> None:
-    """Write CSV files that read back unchanged; blanks at either end of a text are kept."""
+    """Write CSV files; blanks at either end of a text are kept.
+
+    Null and empty text both read back as null. To tell them apart write and read with the
+    same ``nullValue`` option, for example ``\\N``.
+    """
     df.write.mode(mode).options(
         header=header,
         sep=sep,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
+        **options,
     ).csv(path)
 
 

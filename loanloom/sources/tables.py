@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,13 +61,16 @@ def write_table(
     writer.save(path)
 
 
-def _plain(path: str) -> str:
-    return re.sub(r"^file:/+", "/", path).rstrip("/") + "/"
+def _inside(file: str, folder: str) -> bool:
+    # A missing host means the default file system, so it matches any.
+    file, folder = urlsplit(file), urlsplit(folder)
+    if file.netloc and folder.netloc and file.netloc != folder.netloc:
+        return False
+    return unquote(file.path).startswith(unquote(folder.path).rstrip("/") + "/")
 
 
 def _refuse_own_input(df: DataFrame, path: str) -> None:
-    target = _plain(path)
-    if any(_plain(f).startswith(target) for f in df.inputFiles()):
+    if any(_inside(file, path) for file in df.inputFiles()):
         raise ValueError(f"the rows to write are read from {path}; write to a new folder first")
 
 

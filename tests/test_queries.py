@@ -1,0 +1,59 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.check_oracles import actual, expected, open_tables
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return open_tables(SF)
+
+
+def test_registry_is_consistent():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_queries_without_sql_are_the_ones_sql_cannot_state():
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+        "preview", "manifest", "random_split", "dt_predictions", "dt_reloaded", "lr_predictions",
+        "lr_enet", "lr_precision", "lr_evaluate", "lr_auroc", "ml_flow",
+    }
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_equals_sql(spark, con, name):
+    assert actual(entry.queries()[name](spark, SF)) == expected(con, entry.oracle_sql()[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+def test_query_without_sql_gives_rows(spark, name):
+    assert entry.queries()[name](spark, SF).count() > 0
+
+
+def test_manifest_equals_the_folder(spark):
+    got = {(r.name, r.size) for r in entry.queries()["manifest"](spark, SF).collect()}
+    want = {(os.path.basename(p), os.path.getsize(p)) for p in glob.glob(f"{SF}/*.parquet")}
+    assert got == want
+
+
+def test_preview_rows_are_rows_of_the_table(spark):
+    shown = entry.queries()["preview"](spark, SF)
+    assert shown.count() == 20
+    assert shown.exceptAll(entry.queries()["loan_fixture"](spark, SF)).count() == 0
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema] == [
+        ("addr_state", "string"), ("count", "bigint"),
+    ]
+    assert df.count() > 0

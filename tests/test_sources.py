@@ -1,0 +1,315 @@
+from __future__ import annotations
+
+import io
+import os
+import zipfile
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from loanloom import sources
+from loanloom.plans.fixture import pack_csv_archives
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture
+def small(spark):
+    return spark.createDataFrame(
+        [(1, " 36 months", 1.5, "CA"), (2, "a,b \"q\"", None, "NY"), (3, None, -0.25, None),
+         (4, "", 2.0, "CA"), (5, "trailing ", 3.0, "TX")],
+        "id int, text string, x double, state string",
+    )
+
+
+# --- CSV ---
+
+
+def without_empty_text(df):
+    return df.withColumn("text", F.nullif("text", F.lit("")))
+
+
+def test_csv_schema_roundtrip(spark, small, folder):
+    sources.write_csv(small, f"{folder}/csv")
+    back = sources.read_csv(spark, f"{folder}/csv", schema=small.schema)
+    assert rows_of(back) == rows_of(without_empty_text(small))
+
+
+def test_csv_null_marker_keeps_empty_text(spark, small, folder):
+    sources.write_csv(small, f"{folder}/csv", nullValue="\\N")
+    back = sources.read_csv(spark, f"{folder}/csv", schema=small.schema, nullValue="\\N")
+    assert rows_of(back) == rows_of(small)
+
+
+def test_csv_other_separator(spark, small, folder):
+    sources.write_csv(small, f"{folder}/csv", sep=";")
+    assert rows_of(sources.read_csv(spark, f"{folder}/csv", small.schema, sep=";")) == rows_of(
+        without_empty_text(small)
+    )
+
+
+def test_csv_without_header(spark, small, folder):
+    sources.write_csv(small, f"{folder}/csv", header=False)
+    back = sources.read_csv(spark, f"{folder}/csv", small.schema, header=False)
+    assert rows_of(back) == rows_of(without_empty_text(small))
+
+
+def test_csv_inferred_types(spark, small, folder):
+    sources.write_csv(small, f"{folder}/csv")
+    types = {f.name: f.dataType.simpleString() for f in sources.read_csv(spark, f"{folder}/csv").schema}
+    assert types == {"id": "int", "text": "string", "x": "double", "state": "string"}
+
+
+def test_csv_footer_spoils_inference_but_not_a_given_schema(spark, folder):
+    with open(f"{folder}/f.csv", "w") as f:
+        f.write("amount,term,rate,state\n1000, 36 months,7.5%,CA\nTotal amount funded,,,\n")
+    inferred = sources.read_csv(spark, f"{folder}/f.csv")
+    assert inferred.schema["amount"].dataType.simpleString() == "string"
+    schema = StructType.fromDDL("amount int, term string, rate string, state string")
+    got = sources.read_csv(spark, f"{folder}/f.csv", schema, corrupt_column="raw").collect()
+    assert [(r.amount, r.raw) for r in got] == [(1000, None), (None, "Total amount funded,,,")]
+    assert got[0].term == " 36 months"
+
+
+def test_csv_view_equals_reader(spark, small, folder):
+    sources.write_csv(small, f"{folder}/it's csv")
+    view = sources.csv_view(spark, "small_csv", f"{folder}/it's csv")
+    assert rows_of(view) == rows_of(sources.read_csv(spark, f"{folder}/it's csv"))
+    assert spark.sql("select count(*) from small_csv").first()[0] == 5
+
+
+# --- path tables ---
+
+
+def test_table_replace_and_append(spark, small, folder):
+    path = f"{folder}/t"
+    sources.write_table(small, path)
+    sources.write_table(small.where("id > 3"), path)
+    assert rows_of(sources.read_table(spark, path)) == rows_of(small.where("id > 3"))
+    sources.write_table(small.where("id = 1"), path, mode="append")
+    assert sources.read_table(spark, path).count() == 3
+
+
+def test_table_refuses_to_replace_its_own_input(spark, small, folder):
+    path = f"{folder}/my table"
+    sources.write_table(small, path)
+    own = sources.read_table(spark, path).where("id > 1")
+    for spelling in (path, f"file:{path}", f"file://{path}/"):
+        with pytest.raises(ValueError, match="new folder"):
+            sources.write_table(own, spelling)
+    assert sources.read_table(spark, path).count() == 5
+    sources.write_table(own, f"{folder}/my table 2")
+
+
+def test_table_other_formats(spark, small, folder):
+    sources.write_table(small, f"{folder}/orc", fmt="orc")
+    assert rows_of(sources.read_table(spark, f"{folder}/orc", fmt="orc")) == rows_of(small)
+    assert rows_of(sources.table_view(spark, "orc_view", f"{folder}/orc", "orc")) == rows_of(small)
+
+
+def test_missing_format_and_bad_format_name(spark, small, folder):
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
+        sources.write_table(small, f"{folder}/x", fmt="no_such_format")
+    with pytest.raises(ValueError):
+        sources.table_view(spark, "v", folder, fmt="parquet options (a 'b') --")
+
+
+def test_partitioned_table(spark, small, folder):
+    path = f"{folder}/p"
+    sources.write_table(sources.spread(small, "state"), path, partition_by=["state"])
+    back = sources.read_table(spark, path, schema=small.schema)
+    assert back.columns == small.columns
+    assert rows_of(back) == rows_of(small)
+    assert {d for d in os.listdir(path) if d.startswith("state=")} == {
+        "state=CA", "state=NY", "state=TX", "state=__HIVE_DEFAULT_PARTITION__",
+    }
+
+
+def test_partition_values_keep_their_type_with_a_schema(spark, folder):
+    df = spark.createDataFrame([(1, "01"), (2, "02"), (3, ""), (4, None)], "id int, code string")
+    sources.write_table(df, f"{folder}/p", partition_by=["code"])
+    inferred = sources.read_table(spark, f"{folder}/p")
+    assert inferred.schema["code"].dataType.simpleString() == "int"
+    back = sources.read_table(spark, f"{folder}/p", schema=df.schema)
+    assert rows_of(back) == rows_of(spark.createDataFrame(
+        [(1, "01"), (2, "02"), (3, None), (4, None)], "id int, code string"))
+
+
+def test_max_records_per_file(spark, folder):
+    sources.write_table(spark.range(1000).coalesce(1), f"{folder}/m", max_records_per_file=300)
+    assert len([f for f in os.listdir(f"{folder}/m") if f.endswith(".parquet")]) == 4
+
+
+def test_spread_splits_a_hot_key(spark, folder):
+    """One key holds 80 % of the rows; it must not end in one task, and no row may be lost."""
+    df = spark.range(0, 200_000, 1, 16).select(
+        F.when(F.col("id") % 5 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "1m")
+    try:
+        sources.write_table(sources.spread(df, "k"), f"{folder}/p", partition_by=["k"])
+    finally:
+        spark.conf.set(advisory, before)
+    files = {d: len([f for f in os.listdir(f"{folder}/p/{d}") if f.endswith(".parquet")])
+             for d in os.listdir(f"{folder}/p") if d.startswith("k=")}
+    assert files["k=hot"] > 3
+    # 16 tasks writing 8 keys on their own would leave 128 files
+    assert sum(files.values()) < 64
+    assert sources.read_table(spark, f"{folder}/p", schema=df.schema).where("k = 'hot'").count() == 160_000
+
+
+def test_spread_with_salt_and_parts(spark):
+    df = spark.range(10_000).select(F.lit("one").alias("k"), "id")
+    placed = sources.spread(df, "k", parts=32, salt=16).withColumn("task", F.spark_partition_id())
+    assert placed.select("task").distinct().count() > 4
+    assert placed.count() == 10_000
+    together = sources.spread(df, "k", parts=8).withColumn("task", F.spark_partition_id())
+    assert together.select("task").distinct().count() == 1
+
+
+# --- schema enforcement ---
+
+WANTED = (
+    StructType()
+    .add("id", "integer", nullable=False)
+    .add("text", "string")
+    .add("x", "double")
+    .add("state", "string")
+)
+
+
+def test_enforce_reports_every_schema_problem(small):
+    wrong = small.drop("text").withColumn("x", F.lit("a")).withColumn("more", F.lit(1))
+    with pytest.raises(ValueError) as e:
+        sources.enforce_schema(wrong, WANTED)
+    assert str(e.value) == (
+        "missing column text; unexpected column more; column x is string, expected double"
+    )
+
+
+def test_enforce_reorders_columns(small):
+    assert sources.enforce_schema(small.select("x", "state", "id", "text"), WANTED).columns == WANTED.names
+
+
+def test_enforced_write_good_rows(spark, small, folder):
+    sources.write_enforced(small, f"{folder}/t", WANTED)
+    assert rows_of(sources.read_table(spark, f"{folder}/t")) == rows_of(small)
+
+
+def test_enforced_append_of_a_null_commits_nothing(spark, small, folder):
+    sources.write_enforced(small, f"{folder}/t", WANTED)
+    bad = small.withColumn("id", F.when(F.col("id") != 3, F.col("id")))
+    with pytest.raises(Exception, match="null in required column id"):
+        sources.write_enforced(bad, f"{folder}/t", WANTED, mode="append")
+    assert sources.read_table(spark, f"{folder}/t").count() == 5
+
+
+def test_enforced_replace_keeps_the_old_table(spark, small, folder):
+    sources.write_enforced(small, f"{folder}/t", WANTED)
+    bad = small.withColumn("id", F.when(F.col("id") != 3, F.col("id")))
+    with pytest.raises(ValueError, match="1 nulls in required column id"):
+        sources.write_enforced(bad, f"{folder}/t", WANTED, mode="overwrite")
+    assert rows_of(sources.read_table(spark, f"{folder}/t")) == rows_of(small)
+
+
+def test_required_nulls(small):
+    got = {r.column_name: r.null_rows for r in sources.required_nulls(small, ["id", "text", "x"]).collect()}
+    assert got == {"id": 0, "text": 1, "x": 1}
+
+
+# --- catalog ---
+
+
+def test_create_table_as_twice_and_insert_overwrite(spark, small, folder):
+    for rows in (small, small.where("id < 3")):
+        table = sources.create_table_as(rows, "loanloom_test", "t", location=f"{folder}/db")
+        assert rows_of(table) == rows_of(rows)
+    table = sources.insert_overwrite(small.select("state", "x", "text", "id"), "loanloom_test.t")
+    assert rows_of(table) == rows_of(small)
+    with pytest.raises(AnalysisException):
+        sources.insert_overwrite(small.drop("x").withColumn("y", F.lit(1)), "loanloom_test.t")
+
+
+# --- listing and archives ---
+
+
+def test_manifest(spark, folder):
+    for name, size in (("a.csv", 3), ("b.csv", 10), ("c.txt", 5)):
+        with open(f"{folder}/{name}", "w") as f:
+            f.write("x" * size)
+    os.mkdir(f"{folder}/sub")
+    with open(f"{folder}/sub/d.csv", "w") as f:
+        f.write("xx")
+    listed = sources.manifest(spark, folder, glob="*.csv").select("name", "size")
+    assert rows_of(listed) == [("a.csv", 3), ("b.csv", 10)]
+    deep = sources.manifest(spark, folder, glob="*.csv", recursive=True)
+    assert deep.count() == 3
+
+
+def make_zip(path, members):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, data in members:
+            z.writestr(name, data)
+
+
+@pytest.fixture
+def archives(folder):
+    make_zip(f"{folder}/one.zip", [("a.csv", "id,term\r\n1, 36 months\r\n2,\"x,y\"\r\n")])
+    make_zip(
+        f"{folder}/two.zip",
+        [("b.csv", "﻿id,term\n3,ä\n".encode()), ("dir/", ""), ("dir/c.csv", "id,term\nx,5\n\n4,z")],
+    )
+    make_zip(f"{folder}/empty.zip", [])
+    with open(f"{folder}/broken.zip", "wb") as f:
+        f.write(b"PK this is no archive")
+    good = io.BytesIO()
+    make_zip(good, [("d.csv", "id,term\n5,aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa\n")])
+    data = bytearray(good.getvalue())
+    data[50] ^= 0xFF
+    with open(f"{folder}/damaged.zip", "wb") as f:
+        f.write(data)
+    return folder
+
+
+def test_zipped_lines(spark, archives):
+    lines = sources.read_zipped_lines(spark, archives)
+    got = lines.where("error is null").select(
+        F.substring_index("archive", "/", -1), "member", "line_no", "line"
+    )
+    assert ("two.zip", "b.csv", 0, "id,term") in rows_of(got)
+    assert ("one.zip", "a.csv", 1, "1, 36 months") in rows_of(got)
+    bad = lines.where("error is not null").select(F.substring_index("archive", "/", -1), "member")
+    assert rows_of(bad) == [("broken.zip", None), ("damaged.zip", "d.csv")]
+
+
+def test_zipped_csv(spark, archives):
+    schema = StructType.fromDDL("id int, term string")
+    df = sources.read_zipped_csv(spark, archives, schema)
+    good = df.where("_corrupt_record is null").select("id", "term")
+    assert rows_of(good) == [(1, " 36 months"), (2, "x,y"), (3, "ä"), (4, "z")]
+    assert df.where("_corrupt_record = 'x,5'").count() == 1
+    assert df.where("_corrupt_record like '%BadZipFile%'").count() >= 1
+    assert df.select("archive").distinct().count() == 4
+
+
+def test_packed_archives_roundtrip(spark, small, folder):
+    rows = small.repartition(3)
+    pack_csv_archives(rows, f"{folder}/zips")
+    assert all(f.startswith("part-") for f in os.listdir(f"{folder}/zips"))
+    back = sources.read_zipped_csv(spark, f"{folder}/zips", small.schema)
+    assert rows_of(back.select(small.columns)) == rows_of(without_empty_text(small))
+
+
+def test_long_member_is_whole(spark, folder):
+    body = "id,term\n" + "".join(f"{i},{'x' * (i % 300)}\n" for i in range(60_000))
+    make_zip(f"{folder}/long.zip", [("long.csv", body)])
+    df = sources.read_zipped_csv(spark, folder, StructType.fromDDL("id int, term string"))
+    total = df.agg(F.count("id"), F.sum("id"), F.sum(F.length("term"))).first()
+    assert tuple(total) == (60_000, sum(range(60_000)), sum(i % 300 for i in range(60_000)))
