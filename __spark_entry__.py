@@ -180,9 +180,12 @@ def sql_view_chain(spark, sf):
         ),
         "chain_collections",
     )
-    return run_sql(
-        spark, "select grade, count(*) as count from chain_collections group by grade"
+    run_sql(
+        spark,
+        "create or replace temporary view chain_grades as "
+        "select grade, count(*) as count from chain_collections group by grade",
     )
+    return run_sql(spark, "select * from chain_grades")
 
 
 def sql_join(spark, sf):
@@ -335,6 +338,15 @@ def ctas_roundtrip(spark, sf):
     return new_table(spark, cleaned(spark, sf), "ctas_loans")
 
 
+def ctas_at_path(spark, sf):
+    path = scratch_dir(spark, "external")
+    sources.create_table_as(
+        cleaned(spark, sf), "loanloom_queries", "loans_at_path",
+        location=scratch_dir(spark, "database"), path=path,
+    )
+    return sources.read_table(spark, path)
+
+
 def insert_overwrite(spark, sf):
     new_table(spark, cleaned(spark, sf), "overwritten_loans")
     rows = collections_rows(spark, sf)
@@ -623,6 +635,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repartition_rows": repartition_rows,
     "repartition_salted": repartition_salted,
     "ctas_roundtrip": ctas_roundtrip,
+    "ctas_at_path": ctas_at_path,
     "insert_overwrite": insert_overwrite,
     "enforced_write": enforced_write,
     "required_nulls": required_nulls,

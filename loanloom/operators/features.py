@@ -60,19 +60,17 @@ def assemble(
     return assembler.transform(df).select(*keep, label, output)
 
 
-def random_split(
-    df: DataFrame, fractions: Sequence[float], seed: int
-) -> list[DataFrame]:
+def random_split(df: DataFrame, fractions: Sequence[float], seed: int) -> list[DataFrame]:
     """Spark's own split. Parts depend on how the input is partitioned, see :func:`key_split`."""
     return df.randomSplit(list(fractions), seed)
 
 
 def key_split(
-    df: DataFrame, keys: Sequence[str], fraction: float, seed: int
+    df: DataFrame, keys: Sequence[str], fraction: float, seed: int, portable: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Two parts by a hash of the key: same rows after any repartition, retry or re-read.
 
     No sort and no shuffle, unlike the random split, which sorts every partition.
     """
-    first = hash_bucket(*keys, seed=seed) < F.lit(round(fraction * BUCKETS))
+    first = hash_bucket(*keys, seed=seed, portable=portable) < F.lit(round(fraction * BUCKETS))
     return df.where(first), df.where(~first)

@@ -51,12 +51,15 @@ def require_two_classes(df: DataFrame, label: str = "label") -> None:
         raise ValueError(f"one class only: {zero} rows of class 0, {other} of any other class")
 
 
-def fit(estimator: Estimator, df: DataFrame, label: str = "label", persist: bool = False) -> Model:
+def fit(estimator: Estimator, df: DataFrame, label: str = "label", persist: bool = True) -> Model:
     """Check the label, then fit.
 
-    Both estimators keep their own compact blocks in memory while they iterate, and a
-    second copy would only take room from them. ``persist`` is for inputs whose plan is
-    dear and not yet written out; it spills to disk and is released afterwards.
+    An estimator passes over its input several times before it has its own compact blocks
+    in memory, and every pass repeats the plan behind the input, class ratio included.
+    ``persist`` computes the input once, spills to disk what memory cannot hold, and is
+    released afterwards; blocks of a lost executor are computed again. Switch it off for
+    stored features far beyond the memory of the cluster, where re-reading columns is
+    cheaper than spilling vectors.
     """
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -123,20 +123,28 @@ def features(cleaned: DataFrame, keep: tuple[str, ...] = ("loan_id",)) -> DataFr
 
 
 def train_test(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return key_split(rows, ["loan_id"], TRAIN_FRACTION, SPLIT_SEED)
+    """70 to 30, by loan number if there is one, else by the features, so copies stay together."""
+    if "loan_id" in rows.columns:
+        return key_split(rows, ["loan_id"], TRAIN_FRACTION, SPLIT_SEED)
+    return key_split(rows, FEATURES, TRAIN_FRACTION, SPLIT_SEED, portable=False)
+
+
+def _assembled_parts(rows: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
+    keep = [c for c in ("loan_id", *keep) if c in rows.columns]
+    train, test = (assemble(part, FEATURES, keep=keep) for part in train_test(rows))
+    return train, test
 
 
 def fit_tree(rows: DataFrame, **params) -> tuple[Model, DataFrame]:
     """Unweighted tree on the training part; returns the model and the scored test part."""
-    train, test = train_test(assemble(rows, FEATURES, keep=["loan_id"]))
+    train, test = _assembled_parts(rows)
     model = fit(decision_tree(seed=TREE_SEED, **params), train)
     return model, model.transform(test)
 
 
 def weighted_parts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Assembled training and test part with class weights from all rows."""
-    weighted = weigh_classes(rows)
-    return train_test(assemble(weighted, FEATURES, keep=["loan_id", "classWeight"]))
+    return _assembled_parts(weigh_classes(rows), "classWeight")
 
 
 def fit_logistic(rows: DataFrame, **params) -> tuple[Model, DataFrame, DataFrame]:

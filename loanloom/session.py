@@ -22,6 +22,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def home_folder(spark: SparkSession, base: str) -> str:
+    """The current user's own folder under ``base``, ending in a slash."""
+    user = spark.sql("select current_user() as user").first()["user"]
+    return f"{base.rstrip('/')}/{user}/"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in a fresh scratch folder and read it back.
 

@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame
 
 
 def create_table_as(
-    df: DataFrame, database: str, table: str, fmt: str = "parquet", location: str | None = None
+    df: DataFrame,
+    database: str,
+    table: str,
+    fmt: str = "parquet",
+    location: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Create the database if needed, drop an older table, create it from ``df``.
 
     ``location`` is the folder of the database, taken only when the database is new.
+    With ``path`` the files go to that empty folder and outlive the table's entry.
     """
     if not re.fullmatch(r"[A-Za-z][\w.]*", fmt):
         raise ValueError(f"not a format name: {fmt!r}")
@@ -26,9 +32,10 @@ def create_table_as(
         spark.sql("create database if not exists identifier(:db)", args={"db": database})
     name = f"{database}.{table}"
     spark.sql("drop table if exists identifier(:t)", args={"t": name})
+    at, args = ("", {"t": name}) if path is None else ("location :path", {"t": name, "path": path})
     spark.sql(
-        f"create table identifier(:t) using {fmt} as select * from {{rows}}",
-        args={"t": name},
+        f"create table identifier(:t) using {fmt} {at} as select * from {{rows}}",
+        args=args,
         rows=df,
     )
     return spark.table(name)

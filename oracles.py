@@ -194,6 +194,7 @@ ORACLES = {
         select addr_state, count(*) as count from ({LOANS}) group by addr_state""",
     "repartition_salted": f"{CLEAN} select * from clean",
     "ctas_roundtrip": f"{CLEAN} select * from clean",
+    "ctas_at_path": f"{CLEAN} select * from clean",
     "insert_overwrite": COLLECTED,
     "enforced_write": f"{CLEAN} select * from clean",
     "required_nulls": f"{CLEAN} {nulls(['loan_id', 'newTerm', 'dti'], 'clean')}",

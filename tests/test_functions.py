@@ -118,6 +118,10 @@ def test_hash_bucket_follows_its_definition(spark):
     assert got == want
 
 
-def test_hash_bucket_of_null_key_is_a_bucket(spark):
-    df = spark.createDataFrame([(None,)], "k bigint")
-    assert 0 <= df.select(hash_bucket("k", seed=1)).first()[0] < 10_000
+@pytest.mark.parametrize("portable", [True, False])
+def test_hash_buckets_cover_null_keys_evenly(spark, portable):
+    df = spark.createDataFrame([(None,)], "id bigint").union(spark.range(20_000))
+    b = df.select(hash_bucket("id", seed=1, portable=portable).alias("b"))
+    low, high, first = b.agg(F.min("b"), F.max("b"), F.avg((F.col("b") < 7000).cast("int"))).first()
+    assert 0 <= low < high < 10_000
+    assert 0.68 < first < 0.72

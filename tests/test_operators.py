@@ -8,7 +8,7 @@ from loanloom.operators import aggregates, features, filters, inspection, models
 from loanloom.plans import loans as plan
 from loanloom.plans.fixture import loans
 from loanloom.plans.statements import register, run_sql
-from loanloom.session import materialize, scratch_dir
+from loanloom.session import home_folder, materialize, scratch_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -197,6 +197,14 @@ def test_assembler_rejects_or_skips_nulls(spark):
         features.assemble(df, ["x"]).collect()
 
 
+def test_split_without_loan_number_keeps_copies_together(spark):
+    raw = loans(spark, SF)
+    rows = plan.features(plan.clean(raw.unionAll(raw)), keep=())
+    train, test = plan.train_test(rows)
+    assert train.count() + test.count() == rows.count()
+    assert train.intersect(test).count() == 0
+
+
 # --- session ---
 
 
@@ -204,3 +212,8 @@ def test_scratch_folder_comes_from_the_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a != b and a.startswith(f"{base}/x-")
+
+
+def test_home_folder_names_the_user(spark):
+    user = spark.sql("select current_user()").first()[0]
+    assert home_folder(spark, "/base/") == f"/base/{user}/"

@@ -237,6 +237,13 @@ def test_create_table_as_twice_and_insert_overwrite(spark, small, folder):
         sources.insert_overwrite(small.drop("x").withColumn("y", F.lit(1)), "loanloom_test.t")
 
 
+def test_create_table_at_a_path(spark, small, folder):
+    path = f"{folder}/it's here"
+    sources.create_table_as(small, "loanloom_test", "e", location=f"{folder}/db", path=path)
+    spark.sql("drop table loanloom_test.e")
+    assert rows_of(sources.read_table(spark, path)) == rows_of(small)
+
+
 # --- listing and archives ---
 
 
@@ -299,6 +306,12 @@ def test_zipped_csv(spark, archives):
     assert df.select("archive").distinct().count() == 4
 
 
+def test_spread_lines_gives_the_same_rows(spark, archives):
+    schema = StructType.fromDDL("id int, term string")
+    plain = sources.read_zipped_csv(spark, archives, schema)
+    assert rows_of(sources.read_zipped_csv(spark, archives, schema, spread_lines=True)) == rows_of(plain)
+
+
 def test_packed_archives_roundtrip(spark, small, folder):
     rows = small.repartition(3)
     pack_csv_archives(rows, f"{folder}/zips")
