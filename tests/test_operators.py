@@ -198,7 +198,7 @@ def test_assembler_rejects_or_skips_nulls(spark):
 
 
 def test_split_without_loan_number_keeps_copies_together(spark):
-    raw = loans(spark, SF)
+    raw = materialize(loans(spark, SF), "raw")
     rows = plan.features(plan.clean(raw.unionAll(raw)), keep=())
     train, test = plan.train_test(rows)
     assert train.count() + test.count() == rows.count()
