@@ -210,7 +210,8 @@ def sql_window(spark, sf):
         spark,
         """
         select o_custkey, o_orderkey,
-               row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as order_no,
+               cast(row_number() over (partition by o_custkey order by o_orderdate, o_orderkey)
+                    as bigint) as order_no,
                max(o_totalprice) over (partition by o_custkey) as largest
         from {orders}
         """,

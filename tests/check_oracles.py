@@ -20,7 +20,13 @@ def open_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+}
+
+
 def normal(rows, columns):
+    """Named and typed columns in name order, rows in any order."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], sorted(
         (tuple(r[i] for i in order) for r in rows), key=lambda r: [(v is None, str(v)) for v in r]
@@ -29,12 +35,12 @@ def normal(rows, columns):
 
 def expected(con, sql):
     cursor = con.execute(sql)
-    columns = [d[0] for d in cursor.description]
+    columns = [(d[0], TYPES.get(str(d[1]), str(d[1]))) for d in cursor.description]
     return normal(cursor.fetchall(), columns)
 
 
 def actual(df):
-    return normal([tuple(r) for r in df.collect()], df.columns)
+    return normal([tuple(r) for r in df.collect()], df.dtypes)
 
 
 def main():

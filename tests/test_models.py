@@ -206,6 +206,12 @@ def test_unweighted_tree_on_rare_collections_says_never(spark):
     assert share > 0.98
 
 
+def test_fit_on_an_unsaved_plan(spark):
+    rows = plan.features(plan.clean(loans(spark, "/root/testdata/sf0.001"), ("loan_id",)))
+    _, scored = plan.fit_tree(rows)
+    assert scored.count() == plan.train_test(rows)[1].count()
+
+
 def test_flow_is_one_saved_unit(spark, folder):
     rng = random.Random(1)
     df = spark.createDataFrame(
