@@ -14,8 +14,9 @@ def read_zipped_lines(spark: SparkSession, path: str, glob: str = "*.zip") -> Da
 
     A zip can only be opened whole, so one archive is the unit of parallel work and its
     compressed bytes must fit one task. Lines are unpacked as a stream in batches of a few
-    MB, however large the member is. An archive or member that cannot be read gives one
-    row with ``error`` set instead of failing the other archives.
+    MB, however large the member is. An archive or member that cannot be read to its end
+    gives one row with ``error`` set, after the lines read so far; all other members and
+    archives are still read.
     """
     archives = (
         spark.read.format("binaryFile")
@@ -41,20 +42,29 @@ def read_zipped_lines(spark: SparkSession, path: str, glob: str = "*.zip") -> Da
             arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
             return pa.RecordBatch.from_arrays(arrays, names)
 
+        unreadable = (
+            zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, EOFError, OSError
+        )
+
+        def failed(archive, member, e):
+            return archive, member, None, None, f"{type(e).__name__}: {e}"
+
         def lines(archive, content):
-            member = None
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for info in z.infolist():
-                        if info.is_dir():
-                            continue
-                        member = info.filename
-                        with z.open(info) as raw:
-                            text = io.TextIOWrapper(raw, "utf-8-sig", errors="replace")
-                            for number, line in enumerate(text):
-                                yield archive, member, number, line.rstrip("\r\n"), None
-            except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, EOFError) as e:
-                yield archive, member, None, None, f"{type(e).__name__}: {e}"
+                z = zipfile.ZipFile(io.BytesIO(content))
+            except unreadable as e:
+                yield failed(archive, None, e)
+                return
+            for info in z.infolist():
+                if info.is_dir():
+                    continue
+                try:
+                    with z.open(info) as raw:
+                        text = io.TextIOWrapper(raw, "utf-8-sig", errors="replace")
+                        for number, line in enumerate(text):
+                            yield archive, info.filename, number, line.rstrip("\r\n"), None
+                except unreadable as e:
+                    yield failed(archive, info.filename, e)
 
         for incoming in batches:
             for archive, content in zip(incoming["path"], incoming["content"]):

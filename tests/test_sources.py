@@ -306,6 +306,18 @@ def test_zipped_csv(spark, archives):
     assert df.select("archive").distinct().count() == 4
 
 
+def test_members_after_a_damaged_one_are_read(spark, folder):
+    data = io.BytesIO()
+    make_zip(data, [("a.csv", "id,term\n" + "1,aaaa\n" * 50), ("b.csv", "id,term\n7,fine\n")])
+    broken = bytearray(data.getvalue())
+    broken[45] ^= 0xFF
+    with open(f"{folder}/half.zip", "wb") as f:
+        f.write(broken)
+    lines = sources.read_zipped_lines(spark, folder)
+    assert rows_of(lines.where("error is not null").select("member")) == [("a.csv",)]
+    assert rows_of(lines.where("member = 'b.csv'").select("line")) == [("7,fine",), ("id,term",)]
+
+
 def test_spread_lines_gives_the_same_rows(spark, archives):
     schema = StructType.fromDDL("id int, term string")
     plain = sources.read_zipped_csv(spark, archives, schema)
