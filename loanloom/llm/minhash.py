@@ -241,3 +241,19 @@ def near_duplicates(
         F.col("id").alias(id_column), "n_shingles", "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component of :func:`near_duplicates`; all columns.
+
+    The smallest id stays, null after all others, then by reading order. The rows are
+    stored once with a number each, so rows that share an id are told apart.
+    """
+    number = "__row"
+    while number in docs.columns:
+        number += "_"
+    stored = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    name = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col(number).alias("row"))
+    found = near_duplicates(stored.select(name.alias("name"), F.col(text_column).alias("text")), "name", "text", **options)
+    dropped = found.where(~F.col("kept")).select(F.col("name.row").alias(number))
+    return stored.join(dropped, number, "left_anti").drop(number)
