@@ -674,10 +674,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+try:  # the training-data operators and their pipeline can be left out
+    import corpus_pipeline
+    from loanloom.llm.queries import ORACLES as LLM_ORACLES
+    from loanloom.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLES = LLM_ORACLES | {"pipeline": corpus_pipeline.ORACLE_SQL}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL per query; absent for a listing of files, an unordered preview and iterative fits."""
-    return dict(ORACLES)
+    """SQL per query; absent for a listing of files, an unordered preview, iterative fits and
+    training-data operators that SQL cannot express."""
+    return ORACLES | LLM_ORACLES
