@@ -140,10 +140,10 @@ def shingles(texts: pa.Array, width: int) -> list[np.ndarray]:
         if b - a >= width:
             out.append(np.unique(joined[a : b - width + 1]))
         elif b > a:
-            short = U64(b - a)
-            for h in word[a:b]:
-                short = mix(np.array([short * U64(3) + h]))[0]
-            out.append(np.array([short], U64))
+            short = np.array([b - a], U64)
+            for k in range(a, b):
+                short = mix(short * U64(3) + word[k : k + 1])
+            out.append(short)
         else:
             out.append(np.zeros(0, U64))
     return out
