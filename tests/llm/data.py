@@ -1,0 +1,49 @@
+"""Small awkward tables shared by the operator tests."""
+
+from __future__ import annotations
+
+import random
+
+WORDS = "alpha beta gamma delta omega kappa sigma theta zeta eta iota lambda".split()
+
+
+def sentence(rnd: random.Random, n: int) -> str:
+    return " ".join(rnd.choice(WORDS) + str(rnd.randrange(40)) for _ in range(n))
+
+
+def near_copies(seed: int = 1, families: int = 8) -> list[tuple[int, str]]:
+    """Families of texts that differ in a few words, with exact copies and short texts."""
+    rnd, rows = random.Random(seed), []
+    for _ in range(families):
+        words = sentence(rnd, rnd.randint(20, 60)).split()
+        for _ in range(6):
+            mine = list(words)
+            for _ in range(rnd.randint(0, 3)):
+                mine[rnd.randrange(len(mine))] = sentence(rnd, 1)
+            rows.append(" ".join(mine))
+    rows += [rows[0], rows[0].upper(), "one", "One", "two words", "", "   ", "\n\n"]
+    rnd.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def awkward(spark):
+    """Null ids and texts, empty and very long texts, repeated rows, clashing column names."""
+    long_text = " ".join(f"word{i % 977} Token{i}" for i in range(30_000))
+    rows = [
+        (1, "The first text, with some words in it.", "a", 1, "x"),
+        (1, "The first text, with some words in it.", "a", 1, "x"),
+        (2, "the  first\ttext, with some words in it.", None, 2, "y"),
+        (None, "The first text, with some words in it.", "b", None, None),
+        (None, None, None, None, None),
+        (3, "", "a", 3, "z"),
+        (4, None, "c", 4, "w"),
+        (5, long_text, "a", 5, "v"),
+        (6, long_text + " end", "b", 6, "v"),
+        (7, "ünïcödé – ☃ 😀 ▁ password = hunter2hunter2\nsecond line", "b", 7, "u"),
+    ]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, source string, row int, id string"
+    ).selectExpr(
+        "*", "'en' as lang", "cast(length(text) as long) as n_chars", "1 as node", "2 as key", "'k' as hash",
+        "1.5 as score", "array(1) as spans", "true as kept", "'p' as line",
+    )

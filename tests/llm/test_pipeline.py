@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline as pipeline
+from loanloom.llm import queries
+from tests.llm.data import awkward
+from tests.llm.test_dedup import components, shingle_set
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """The input and the result of every stage, written and read back."""
+    out = [spark.read.parquet(f"{SF}/documents.parquet")]
+    for name, stage in pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        stage(spark, out[-1], SF).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return out
+
+
+def rows_of(df):
+    return {r.doc_id: tuple(r) for r in df.select(sorted(df.columns)).collect()}
+
+
+def test_names_and_columns(stages):
+    assert [n for n, _ in pipeline.STAGES] == [
+        "quality_classifier", "exact_dedup", "near_dedup", "secret_scan", "packing"
+    ]
+    for df in stages[1:-1]:
+        assert sorted(df.columns) == sorted(stages[0].columns)
+
+
+def test_quality_keeps_what_labels_call_good(spark, stages):
+    kept = {r.doc_id for r in stages[1].collect()}
+    for r in spark.read.parquet(f"{SF}/labels.parquet").collect():
+        assert (r.doc_id in kept) == bool(r.quality)
+
+
+def test_exact_stage_equals_brute_force(stages):
+    texts = {r.doc_id: re.sub("[\x20\x09-\x0d]+", " ", r.text) for r in stages[1].collect()}
+    first = {}
+    for i in sorted(texts):
+        first.setdefault(texts[i], i)
+    assert {r.doc_id for r in stages[2].collect()} == set(first.values())
+
+
+def test_near_stage_equals_brute_force(stages):
+    rows = sorted((r.doc_id, r.text) for r in stages[2].collect())
+    sets = [shingle_set(t, 5) for _, t in rows]
+    roots = components(len(rows), lambda a, b: bool(sets[a] and sets[b]) and
+                       100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    assert {r.doc_id for r in stages[3].collect()} == {rows[i][0] for i in set(roots)}
+
+
+def test_secrets_go_and_documents_stay(stages):
+    before, after = rows_of(stages[3]), rows_of(stages[4])
+    assert set(before) == set(after)
+    changed = [i for i in before if before[i] != after[i]]
+    assert changed
+    for r in stages[4].collect():
+        assert not re.search("AKIA[A-Z0-9]{12,}", r.text)
+
+
+def test_packing_holds_every_document(stages):
+    assert {r.doc_id for r in stages[5].collect()} == {r.doc_id for r in stages[4].collect()}
+
+
+def test_run_equals_the_stages(spark, stages):
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert sorted(map(tuple, pipeline.run(spark, SF).select(columns).collect())) == sorted(
+        map(tuple, stages[5].select(columns).collect())
+    )
+
+
+def test_stages_on_awkward_rows(spark):
+    docs = awkward(spark)
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs, SF).count() > 0
+        assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_queries_are_registered():
+    assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert set(queries.ORACLES) <= set(entry.oracle_sql())
+    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in queries.QUERIES}
