@@ -15,6 +15,8 @@ from loanloom.llm import arrays
 from loanloom.llm.arrays import U64
 
 LAST = np.iinfo(np.int64).max
+#: Most windows in one stretch; only repetitive text reaches it.
+LONGEST = 64
 
 
 def _window_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -47,8 +49,13 @@ def stretches(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple
     first[1:] &= ~inside[:-1] | (low[1:] != low[:-1]) | (owner[1:n] != owner[: n - 1])
     last = inside.copy()
     last[:-1] &= ~inside[1:] | (low[1:] != low[:-1]) | (owner[1:n] != owner[: n - 1])
-    begin, end = np.flatnonzero(first), np.flatnonzero(last) + length
-    return begin, end, owner[begin], low[begin]
+    begin, windows = np.flatnonzero(first), np.flatnonzero(last) - np.flatnonzero(first) + 1
+    # repetitive text keeps one minimiser for long: cut it, its windows stay in one slice
+    parts = -(-windows // LONGEST)
+    part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    windows = np.minimum(np.repeat(windows, parts) - part * LONGEST, LONGEST)
+    begin = np.repeat(begin, parts) + part * LONGEST
+    return begin, begin + windows - 1 + length, owner[begin], low[begin]
 
 
 def gather(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -279,6 +286,17 @@ class Slice:
             yield at, start, depth[chunk][group], len(whole) + chunk[group], low[chunk][group]
 
 
+def _ranges(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges that begin at ``first`` and hold ``n``; the range of each."""
+    of = np.repeat(np.arange(len(n)), n)
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), of
+
+
+def _chunks(cost: np.ndarray, at_once: int = 1 << 21) -> list[np.ndarray]:
+    part = np.cumsum(cost) // at_once
+    return np.split(np.arange(len(cost)), np.flatnonzero(np.diff(part)) + 1) if len(cost) else []
+
+
 def _union(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The spans of each owner with those that touch made one."""
     order = np.lexsort((start, owner))
@@ -292,23 +310,57 @@ def _union(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return owner[head], start[head], (reach - shift)[tail] if len(head) else end
 
 
+def _covered(part: Slice, length: int):
+    """Occurrence, start and end of what earlier documents hold, a bounded number at a time.
+
+    A maximal repeat gives each window in it the smallest key of its group; a window is
+    covered in every document with a larger key. Windows of a string that share their
+    smallest key are one span, whatever number of nested repeats they stand in.
+    """
+    windows = part.end - part.begin - length + 1
+    base = np.cumsum(windows) - windows
+    low = np.repeat(part.low, windows)
+    strings, places, first, last, depth = part.repeats(length)
+    for chunk in _chunks((last - first + 1) * (depth - length + 1)):
+        member, of = _ranges(first[chunk], last[chunk] - first[chunk] + 1)
+        least = np.minimum.reduceat(part.low[strings[member]], np.flatnonzero(np.diff(of, prepend=-1)))
+        window, of_member = _ranges(base[strings[member]] + places[member], depth[chunk][of] - length + 1)
+        np.minimum.at(low, window, least[of[of_member]])
+    owner = np.repeat(np.arange(len(windows)), windows)
+    new = np.diff(owner, prepend=-1) != 0
+    new[1:] |= low[1:] != low[:-1]
+    head = np.flatnonzero(new)
+    tail = np.append(head[1:], len(low)) - 1
+    useful = low[head] < part.high[owner[head]]
+    head, tail = head[useful], tail[useful]
+    string, key = owner[head], low[head]
+    times = np.diff(part.cut)[string]
+    for chunk in _chunks(times):
+        at, of = _ranges(part.cut[string[chunk]], times[chunk])
+        of = chunk[of]
+        later = part.key[at] > key[of]
+        at, of = at[later], of[later]
+        start = part.start[at] + head[of] - base[string[of]]
+        yield at, start, start + tail[of] - head[of] + length
+
+
 def _occurrences(table: pa.Table, length: int, everything: bool):
     part = Slice(table)
-    _, first, document = np.unique(
-        np.stack([part.key, part.document], 1), axis=0, return_index=True, return_inverse=True
-    )
-    out: list[tuple] = []
-    for at, start, size, group, low in part.groups(length):
-        if everything:
-            out.append((part.document[at], part.key[at], start, size, group, low))
-        else:
-            later = part.key[at] > low
-            out.append(_union(document.ravel()[at[later]], start[later], (start + size)[later]))
-    if not everything:
-        owner, start, end = _union(*(np.concatenate(c) for c in zip(*out)))
+    names = ["document", "key", "start", "length", "group", "first_key"]
+    if everything:
+        out = [
+            (part.document[at], part.key[at], start, size, group, low)
+            for at, start, size, group, low in part.groups(length)
+        ]
+    else:
+        _, first, document = np.unique(
+            np.stack([part.key, part.document], 1), axis=0, return_index=True, return_inverse=True
+        )
+        spans = [_union(document.ravel()[at], start, end) for at, start, end in _covered(part, length)]
+        none = np.zeros(0, np.int64)
+        owner, start, end = _union(*(np.concatenate(c) for c in zip((none, none, none), *spans)))
         zero = np.zeros(len(owner), np.int64)
         out = [(part.document[first[owner]], part.key[first[owner]], start, end - start, zero, zero)]
-    names = ["document", "key", "start", "length", "group", "first_key"]
     return pa.table({n: np.concatenate(c).astype(np.int64) for n, c in zip(names, zip(*out))})
 
 
