@@ -149,7 +149,8 @@ def preview(spark, sf):
 
 def first_row(spark, sf):
     ordered = table(spark, sf, "orders").orderBy("o_orderkey")
-    return inspection.preview(ordered, 1).select("o_orderkey", "o_orderpriority")
+    first = [inspection.first_value(ordered, c) for c in ("o_orderkey", "o_orderpriority")]
+    return spark.createDataFrame([tuple(first)], "o_orderkey long, o_orderpriority string")
 
 
 def user_stamp(spark, sf):
@@ -381,7 +382,7 @@ def zip_landing(spark, sf):
     landed = scratch_dir(spark, "landed")
     sources.write_table(sources.read_zipped_csv(spark, folder, rows.schema), landed)
     read = sources.read_table(spark, landed)
-    return read.where(F.col("_corrupt_record").isNull()).select(*rows.columns)
+    return read.select(*rows.columns, "_corrupt_record")
 
 
 def stream_etl(spark, sf):
@@ -482,6 +483,39 @@ def precision_by_label(spark, sf):
     return evaluation.precision_by_label(rule_scores(spark, sf))
 
 
+def roc_points(spark, sf):
+    points = evaluation.roc_curve(rule_scores(spark, sf))
+    return points.select(*[F.round(c, 9).alias(c) for c in ("fpr", "tpr")])
+
+
+def precision_never_predicted(spark, sf):
+    never = rule_scores(spark, sf).withColumn("prediction", F.lit(0))
+    rows = evaluation.precision_by_label(never)
+    return rows.withColumn("precision", F.round("precision", 9))
+
+
+def split_without_key(spark, sf):
+    # the reference's table has no loan number: copies of a row stay in one part
+    train, test = plan.train_test(feature_rows(spark, sf).drop("loan_id"))
+    both = train.withColumn("train", F.lit(1)).unionByName(test.withColumn("train", F.lit(0)))
+    parts = both.groupBy("label", *plan.FEATURES).agg(
+        F.count(F.lit(1)).alias("copies"), F.countDistinct("train").alias("parts")
+    )
+    return parts.agg(F.sum("copies").alias("rows"), F.max("parts").alias("most_parts"))
+
+
+def fraction_labels(spark, sf):
+    # a count that is a fraction, beyond int, or text
+    price = F.col("o_totalprice")
+    orders = table(spark, sf, "orders")
+    big = F.when(F.col("o_orderkey") % 3 == 0, F.lit(0.0)).otherwise(price * 100000.0)
+    text = F.when(F.col("o_orderkey") % 3 == 0, "0.0").when(F.col("o_orderkey") % 3 == 1, "1.5").otherwise("n/a")
+    return orders.select(
+        "o_orderkey", binary_label(price - F.floor(price)).alias("fraction_label"),
+        binary_label(big).alias("big_label"), binary_label(text).alias("text_label"),
+    )
+
+
 def precision_weighted(spark, sf):
     rows = evaluation.precision_by_label(rule_scores(spark, sf), weight="classWeight")
     return rows.withColumn("precision", F.round("precision", 6))
@@ -563,9 +597,8 @@ def lr_precision(spark, sf):
 
 def lr_evaluate(spark, sf):
     model, _, test = plan.fit_logistic(stored_features(spark, sf))
-    summary = model.evaluate(test)
-    curve = summary.roc
-    return curve.select(F.col("FPR").alias("fpr"), F.col("TPR").alias("tpr"))
+    scored = evaluation.score_rows(model.evaluate(test).predictions, "label", "classWeight")
+    return evaluation.roc_curve(scored, weight="classWeight")
 
 
 def lr_auroc(spark, sf):
@@ -659,6 +692,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "confusion_counts": confusion_counts,
     "precision_by_label": precision_by_label,
     "precision_weighted": precision_weighted,
+    "precision_never_predicted": precision_never_predicted,
+    "roc_points": roc_points,
+    "split_without_key": split_without_key,
+    "fraction_labels": fraction_labels,
     "feature_vectors": feature_vectors,
     "dt_predictions": dt_predictions,
     "dt_reloaded": dt_reloaded,

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 
 def binary_label(source: str | Column) -> Column:
-    """1 for any non-zero count, 0 for zero, null for an unknown count.
+    """1 for any count but zero, 0 for zero, null for an unknown count.
 
-    The source is cast first so that the label is ``int`` whatever the source type is.
+    The count is compared as a double: fractions, values beyond ``int`` and text such as
+    ``'1.0'`` keep their meaning, and no other number than zero becomes zero. Text that is no number is unknown.
     """
     source = F.col(source) if isinstance(source, str) else source
-    number = source.try_cast("int")
-    return F.when(number != 0, F.lit(1)).otherwise(number)
+    number = source.try_cast("double")
+    return F.when(number != 0, F.lit(1)).when(number == 0, F.lit(0))
 
 
 def class_weight(label: str | Column, ratio: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanloom.session import materialize
+
 
 def score_rows(predictions: DataFrame, *keep: str) -> DataFrame:
     """Flat scored table: ``keep`` columns, probability of class 1, predicted class."""
@@ -28,18 +30,27 @@ def precision_by_label(
     prediction: str = "prediction",
     weight: str | None = None,
 ) -> DataFrame:
-    """Per predicted class the share of its rows (or of their weight) that carry that label."""
-    mass = F.lit(1.0) if weight is None else F.col(weight)
+    """Per class the share of the rows predicted as it (or of their weight) that carry its label.
+
+    Every class found in either column has a row; one that is never predicted has 0.0. Each
+    row counts once for its predicted class and marks its label's class, so one aggregate
+    does and nothing is joined. A null class has no row.
+    """
+    mass = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    kind = df.schema[prediction].dataType
     hit = F.when(F.col(label) == F.col(prediction), mass).otherwise(F.lit(0.0))
-    return df.groupBy(prediction).agg(
-        F.try_divide(F.sum(hit), F.sum(mass)).alias("precision")
+    predicted = F.struct(F.col(prediction).alias("c"), hit.alias("hit"), mass.alias("mass"))
+    labelled = F.struct(F.col(label).cast(kind).alias("c"), F.lit(0.0).alias("hit"), F.lit(0.0).alias("mass"))
+    classes = df.select(F.explode(F.array(predicted, labelled)).alias("x")).select("x.*")
+    return classes.where("c is not null").groupBy(F.col("c").alias(prediction)).agg(
+        F.coalesce(F.try_divide(F.sum("hit"), F.sum("mass")), F.lit(0.0)).alias("precision")
     )
 
 
 def area_under_roc_binned(
-    predictions: DataFrame, label: str = "label", raw: str = "rawPrediction", bins: int = 1000
+    predictions: DataFrame, label: str = "label", raw: str = "rawPrediction", bins: int = 0
 ) -> float:
-    """Spark's evaluator: unweighted, the curve thinned to about ``bins`` points."""
+    """Spark's evaluator: unweighted, every point of the curve, or thinned to ``bins`` points."""
     evaluator = BinaryClassificationEvaluator(
         labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC", numBins=bins
     )
@@ -89,3 +100,46 @@ def area_under_roc(
     return joined.agg(
         F.try_divide(won2, 2 * F.sum("pos") * F.sum("neg")).alias(name)
     )
+
+
+def roc_curve(
+    df: DataFrame,
+    score: str = "score",
+    label: str = "label",
+    weight: str | None = None,
+    parts: int | None = None,
+) -> DataFrame:
+    """The whole ROC curve: ``fpr`` and ``tpr`` at every distinct score, and the origin.
+
+    Scores collapse to one row each and are cut into contiguous ranges; a range only needs
+    the totals of those above it, of which there are ``parts``. Rows without score or label
+    are left out. With one class missing its rate is null.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mass = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+
+    def of(value):
+        return F.sum(F.when(F.col(label) == value, mass).otherwise(F.lit(0.0)))
+
+    per_score = (
+        df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
+        .groupBy(F.col(score).alias("s"))
+        .agg(of(1).alias("pos"), of(0).alias("neg"))
+    )
+    ranged = materialize(
+        per_score.repartitionByRange(parts, "s").withColumn("part", F.spark_partition_id()), "scores"
+    )
+    above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    totals = ranged.groupBy("part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        "part",
+        *[F.coalesce(F.sum(c).over(above), F.lit(0.0)).alias(f"{c}_above") for c in "pn"],
+        *[F.sum(c).over(everything).alias(f"{c}_all") for c in "pn"],
+    )
+    upto = Window.partitionBy("part").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    points = ranged.join(totals, "part").select(
+        F.try_divide(F.col("n_above") + F.sum("neg").over(upto), "n_all").alias("fpr"),
+        F.try_divide(F.col("p_above") + F.sum("pos").over(upto), "p_all").alias("tpr"),
+    )
+    return points.union(spark.createDataFrame([(0.0, 0.0)], "fpr double, tpr double"))

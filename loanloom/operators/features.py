@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loanloom.functions import binary_label, class_weight, hash_bucket
 from loanloom.functions.splits import BUCKETS
 from loanloom.operators.aggregates import balancing_ratio
+from loanloom.session import materialize
 
 
 def feature_rows(
@@ -61,8 +62,25 @@ def assemble(
 
 
 def random_split(df: DataFrame, fractions: Sequence[float], seed: int) -> list[DataFrame]:
-    """Spark's own split. Parts depend on how the input is partitioned, see :func:`key_split`."""
-    return df.randomSplit(list(fractions), seed)
+    """Disjoint random parts that together hold every row once.
+
+    One random number per row is stored with it in the shared folder, and the parts are
+    filters on the stored rows: they stay what they are however often, and in whatever
+    layout, they are read. Fractions are taken relative to their sum.
+    """
+    number = "__part"
+    while number in df.columns:
+        number += "_"
+    stored = materialize(df.withColumn(number, F.rand(seed)), "split")
+    total, parts, low = float(sum(fractions)), [], 0.0
+    for k, fraction in enumerate(fractions):
+        high = low + fraction / total
+        inside = F.col(number) >= low
+        if k < len(fractions) - 1:
+            inside &= F.col(number) < high
+        parts.append(stored.where(inside).drop(number))
+        low = high
+    return parts
 
 
 def key_split(

@@ -9,9 +9,10 @@ from pyspark.sql.types import StringType
 
 def _comparable(df: DataFrame, column: str, value) -> Column:
     # A number is never compared with text: Spark would cast every text and abort on a
-    # bad one. Columns of any numeric type stay bare, so the filter reaches the scan.
+    # bad one. '1.0' equals 1 and '1.5' differs from it, as in SQL. Columns of any numeric
+    # type stay bare, so the filter reaches the scan.
     if isinstance(df.schema[column].dataType, StringType) and not isinstance(value, str):
-        return F.col(column).try_cast("double" if isinstance(value, float) else "bigint")
+        return F.col(column).try_cast("double")
     return F.col(column)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 MODEL_CLASSES = {
     "tree": DecisionTreeClassificationModel,
     "logistic": LogisticRegressionModel,
+    "flow": PipelineModel,
 }
 
 
@@ -83,5 +84,5 @@ def save_model(model: Model, path: str) -> None:
 
 
 def load_model(kind: str, path: str) -> Model:
-    """Read a model folder; ``kind`` is ``tree`` or ``logistic``."""
+    """Read a model folder; ``kind`` is ``tree``, ``logistic`` or ``flow``."""
     return MODEL_CLASSES[kind].load(path)

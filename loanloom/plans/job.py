@@ -24,7 +24,7 @@ from loanloom.sources import read_csv, read_table, write_table
 
 @dataclass
 class LoanReport:
-    """What the flow leaves behind: paths, models, and small result tables (not yet computed)."""
+    """What the flow leaves behind: paths, models, and its result tables, stored under ``home``."""
 
     table_path: str
     tree_path: str
@@ -37,38 +37,67 @@ class LoanReport:
     logistic_predictions: DataFrame
     training_precision: DataFrame
     area_under_roc: DataFrame
+    unreadable: DataFrame
+
+
+CORRUPT = "_corrupt_record"
 
 
 def run(
     spark: SparkSession, csv: str, home: str, schema: StructType | None = None, fmt: str = "parquet"
 ) -> LoanReport:
-    """Run the flow on ``csv``; tables and models go under ``home``."""
-    raw = read_csv(spark, csv, schema=schema)
+    """Run the flow on ``csv``; tables, results and models go under ``home``.
+
+    CSV lines that do not fit the schema are stored whole in ``corrupt_lines``, and
+    ``unreadable`` counts them and the texts without a number in the unit columns. Both
+    stay out of the loan table and of the results.
+    """
+    raw = read_csv(spark, csv, schema=schema, corrupt_column=CORRUPT if schema else None)
+    if CORRUPT in raw.columns:
+        raw = materialize(raw, "csv")
+        bad = raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+        raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    else:
+        bad = spark.createDataFrame([], f"{CORRUPT} string")
     keep = tuple(c for c in ("loan_id",) if c in raw.columns)
     table_path, tree_path = f"{home}loans", f"{home}tree"
     write_table(plan.clean(raw, keep), table_path, fmt=fmt)
 
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        write_table(df, f"{home}{name}", fmt=fmt)
+        return read_table(spark, f"{home}{name}", fmt=fmt, schema=df.schema)
+
+    corrupt = stored("corrupt_lines", bad)
+    lines = row_count(corrupt, "rows").select(F.lit("corrupt lines").alias("what"), "rows")
+    unreadable = stored(
+        "unreadable", lines.union(plan.unreadable_units(raw).select("column_name", "failed_rows"))
+    )
     loans = read_table(spark, table_path, fmt=fmt)
     rows = materialize(plan.features(loans, keep), "features")
     tree, tree_predictions = plan.fit_tree(rows)
     save_model(tree, tree_path)
     logistic, _, test = plan.fit_logistic(rows)
-    predictions = logistic.evaluate(test).predictions
+    save_model(logistic, f"{home}logistic")
     training = score_rows(logistic.summary.predictions, "label", "classWeight")
+    named = [c for c in ("loan_id",) if c in rows.columns]
+    scored = stored(
+        "logistic_predictions", score_rows(logistic.transform(test), *named, "label", "classWeight")
+    )
     return LoanReport(
         table_path=table_path,
         tree_path=tree_path,
         tree=tree,
         logistic=logistic,
-        counts=row_count(loans, "loans").select(
+        counts=stored("counts", row_count(loans, "loans").select(
             "loans", row_count(plan.with_collections(loans)).scalar().alias("with_collections")
-        ),
-        collections_by_state=plan.collections_by_state(loans),
-        positive_percent=class_share(rows, "label"),
-        tree_predictions=tree_predictions,
-        logistic_predictions=predictions,
-        training_precision=precision_by_label(training, weight="classWeight"),
-        area_under_roc=area_under_roc(score_rows(predictions, "label")),
+        )),
+        collections_by_state=stored("collections_by_state", plan.collections_by_state(loans)),
+        positive_percent=stored("positive_percent", class_share(rows, "label")),
+        tree_predictions=stored("tree_predictions", score_rows(tree_predictions, *named, "label")),
+        logistic_predictions=scored,
+        training_precision=stored("training_precision", precision_by_label(training, weight="classWeight")),
+        area_under_roc=stored("area_under_roc", area_under_roc(scored)),
+        unreadable=unreadable,
     )
 
 
@@ -84,11 +113,13 @@ def main() -> None:
     report = run(
         spark, options.csv, home_folder(spark, options.base), schema=schema, fmt=options.format
     )
-    report.counts.show()
-    report.collections_by_state.orderBy(F.desc("count")).show(60)
-    report.positive_percent.show()
-    report.training_precision.show()
-    report.area_under_roc.show()
+    for name in (
+        "counts", "collections_by_state", "positive_percent", "training_precision", "area_under_roc", "unreadable"
+    ):
+        table = getattr(report, name)
+        print(name, *table.columns, sep="\t")
+        for row in table.toLocalIterator():
+            print("", *row, sep="\t")
 
 
 if __name__ == "__main__":

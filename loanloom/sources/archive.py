@@ -16,7 +16,7 @@ def read_zipped_lines(spark: SparkSession, path: str, glob: str = "*.zip") -> Da
     compressed bytes must fit one task. Lines are unpacked as a stream in batches of a few
     MB, however large the member is. An archive or member that cannot be read to its end
     gives one row with ``error`` set, after the lines read so far; all other members and
-    archives are still read.
+    archives are still read. A line that is not UTF-8 is a row with its number and the error.
     """
     archives = (
         spark.read.format("binaryFile")
@@ -46,8 +46,8 @@ def read_zipped_lines(spark: SparkSession, path: str, glob: str = "*.zip") -> Da
             zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, EOFError, OSError
         )
 
-        def failed(archive, member, e):
-            return archive, member, None, None, f"{type(e).__name__}: {e}"
+        def failed(archive, member, e, number=None):
+            return archive, member, number, None, f"{type(e).__name__}: {e}"
 
         def lines(archive, content):
             try:
@@ -60,9 +60,13 @@ def read_zipped_lines(spark: SparkSession, path: str, glob: str = "*.zip") -> Da
                     continue
                 try:
                     with z.open(info) as raw:
-                        text = io.TextIOWrapper(raw, "utf-8-sig", errors="replace")
-                        for number, line in enumerate(text):
-                            yield archive, info.filename, number, line.rstrip("\r\n"), None
+                        for number, line in enumerate(raw):
+                            try:
+                                text = line.decode("utf-8" if number else "utf-8-sig")
+                            except UnicodeDecodeError as e:
+                                yield failed(archive, info.filename, e, number)
+                            else:
+                                yield archive, info.filename, number, text.rstrip("\r\n"), None
                 except unreadable as e:
                     yield failed(archive, info.filename, e)
 
@@ -103,7 +107,7 @@ def read_zipped_csv(
     """
     lines = read_zipped_lines(spark, path, glob)
     if header:
-        lines = lines.where((F.col("line_no") != 0) | F.col("line_no").isNull())
+        lines = lines.where((F.col("line_no") != 0) | F.col("error").isNotNull())
     lines = lines.where(F.col("error").isNotNull() | (F.trim("line") != ""))
     if spread_lines:
         lines = lines.hint("rebalance")

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,31 +47,43 @@ def write_table(
 ) -> None:
     """Replace, append to, or create a path table.
 
-    Replacing a Parquet folder deletes it before the new rows are computed, so a plan
-    that still reads the folder would lose its own input: that is refused here.
-    Transactional formats read a snapshot and pass.
+    A folder of files is replaced by writing the new rows beside it, then swapping the two
+    by renames. So a plan may read the table it replaces, and after a failed write the old
+    table is still there. A stop between the two renames leaves the old rows in the folder
+    ``<path>__old-...``. Transactional formats, and the dynamic overwrite of single
+    partitions, replace by their own means.
     """
-    if mode == "overwrite" and fmt in {"parquet", "orc", "csv", "json", "text"}:
-        _refuse_own_input(df, path)
+    spark = df.sparkSession
+    dynamic = partition_by and spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    staged = mode == "overwrite" and fmt in {"parquet", "orc", "csv", "json", "text"} and not dynamic
+    base = path.rstrip("/")
+    target = f"{base}__new-{uuid.uuid4().hex}" if staged else path
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.save(path)
-
-
-def _inside(file: str, folder: str) -> bool:
-    # A missing host means the default file system, so it matches any.
-    file, folder = urlsplit(file), urlsplit(folder)
-    if file.netloc and folder.netloc and file.netloc != folder.netloc:
-        return False
-    return unquote(file.path).startswith(unquote(folder.path).rstrip("/") + "/")
-
-
-def _refuse_own_input(df: DataFrame, path: str) -> None:
-    if any(_inside(file, path) for file in df.inputFiles()):
-        raise ValueError(f"the rows to write are read from {path}; write to a new folder first")
+    if not staged:
+        writer.save(target)
+        return
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    files = folder(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer.save(target)
+        old = folder(f"{base}__old-{uuid.uuid4().hex}")
+        replaced = files.exists(folder(base))
+        if replaced and not files.rename(folder(base), old):
+            raise OSError(f"{path} cannot be moved aside")
+        if not files.rename(folder(target), folder(base)):
+            if replaced:
+                files.rename(old, folder(base))
+            raise OSError(f"the new rows cannot be moved to {path}")
+    except BaseException:
+        files.delete(folder(target), True)
+        raise
+    if replaced:
+        files.delete(old, True)
+    spark.catalog.refreshByPath(base)
 
 
 def spread(df: DataFrame, *columns: str, parts: int | None = None, salt: int = 1) -> DataFrame:
@@ -138,17 +150,7 @@ def write_enforced(
 ) -> None:
     """Write only if every row meets ``schema``.
 
-    A new or appended table is guarded in the write job itself; a failed job commits no
-    file. Replacing a table deletes the old rows first, so there the required columns are
-    counted beforehand and the old table survives a bad batch.
+    The guard is part of the write job itself: a failed job commits no file, and a table
+    that was to be replaced stays as it was.
     """
-    checked = enforce_schema(df, schema)
-    if mode == "overwrite":
-        required = [f.name for f in schema.fields if not f.nullable]
-        if required:
-            bad = required_nulls(df, required).where("null_rows > 0").collect()
-            if bad:
-                raise ValueError(
-                    "; ".join(f"{r.null_rows} nulls in required column {r.column_name}" for r in bad)
-                )
-    write_table(checked, path, fmt=fmt, mode=mode, **options)
+    write_table(enforce_schema(df, schema), path, fmt=fmt, mode=mode, **options)

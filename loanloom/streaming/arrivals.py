@@ -16,9 +16,17 @@ def csv_arrivals(
     sep: str = ",",
     header: bool = True,
     max_files: int | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    """Stream of the CSV files in a folder; a stream never infers its schema."""
+    """Stream of the CSV files in a folder; a stream never infers its schema.
+
+    With ``corrupt_column`` the raw line of a row that does not fit is kept there.
+    """
+    if corrupt_column:
+        schema = StructType([*schema.fields]).add(corrupt_column, "string")
     reader = spark.readStream.schema(schema).options(header=header, sep=sep)
+    if corrupt_column:
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt_column)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(path)

@@ -198,7 +198,7 @@ ORACLES = {
     "insert_overwrite": COLLECTED,
     "enforced_write": f"{CLEAN} select * from clean",
     "required_nulls": f"{CLEAN} {nulls(['loan_id', 'newTerm', 'dti'], 'clean')}",
-    "zip_landing": LOANS,
+    "zip_landing": f"select *, cast(null as varchar) as _corrupt_record from ({LOANS})",
     "stream_etl": f"{CLEAN} select * from clean",
     # labels, weights, split
     "binary_labels": f"{FEATURES} select loan_id, label from labelled",
@@ -244,6 +244,27 @@ ORACLES = {
                round(sum(case when label = prediction then weight else 0e0 end) / sum(weight), 6)
                  as precision
         from scores group by prediction""",
+    "precision_never_predicted": f"""{RULE}
+        select 0 as prediction, round(avg(case when label = 0 then 1e0 else 0e0 end), 9) as precision
+        from scores
+        union all select 1, 0e0""",
+    "roc_points": f"""{RULE},
+        per_score as (
+          select score, cast(sum(label) as double) as pos, cast(count(*) - sum(label) as double) as neg
+          from scores group by score
+        )
+        select round(sum(neg) over upto / sum(neg) over (), 9) as fpr,
+               round(sum(pos) over upto / sum(pos) over (), 9) as tpr
+        from per_score window upto as (order by score desc)
+        union all select 0e0, 0e0""",
+    "split_without_key": f"""{FEATURES}
+        select cast(count(*) as bigint) as rows, cast(1 as bigint) as most_parts from features""",
+    "fraction_labels": """
+        select o_orderkey,
+               case when o_totalprice - floor(o_totalprice) <> 0 then 1 else 0 end as fraction_label,
+               case when o_orderkey % 3 = 0 then 0 else 1 end as big_label,
+               case o_orderkey % 3 when 0 then 0 when 1 then 1 end as text_label
+        from orders""",
     # estimators
     "feature_vectors": f"""{FEATURES}
         select loan_id, label, cast(loan_amnt as double) as loan_amnt_value,

@@ -89,6 +89,9 @@ def test_unit_rule_as_column(spark):
         ("int", [0, 1, 3, None], [0, 1, 1, None]),
         ("bigint", [0, 1, 3, None], [0, 1, 1, None]),
         ("string", ["0", "2", "x", None], [0, 1, None, None]),
+        ("string", ["0.0", "1.0", "0.5", "-0"], [0, 1, 1, 0]),
+        ("bigint", [3_000_000_000, 2**62], [1, 1]),
+        ("double", [0.5, 3e9, 0.0, -0.0], [1, 1, 0, 0]),
     ],
 )
 def test_binary_label(spark, kind, values, expected):

@@ -4,6 +4,7 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanloom import sources
 from loanloom.operators.models import load_model
@@ -32,6 +33,22 @@ def test_whole_flow(spark, folder, keyed):
     assert loaded.toDebugString.split("\n")[1:] == report.tree.toDebugString.split("\n")[1:]
 
 
+def test_job_stores_results_and_counts_what_it_cannot_read(spark, folder):
+    # more than 60 groups, a broken line, a rate without a number
+    raw = loans(spark, SF).withColumn("addr_state", F.concat("addr_state", F.lit("/"), F.col("loan_id") % 40))
+    sources.write_csv(raw.coalesce(1), f"{folder}/csv")
+    with open(f"{folder}/csv/extra.csv", "w") as f:
+        f.write(",".join(raw.columns) + "\nnot a number,x,y\n")
+    report = job.run(spark, f"{folder}/csv", f"{folder}/home/", schema=raw.schema)
+    found = {r.what: r.rows for r in report.unreadable.collect()}
+    assert found["corrupt lines"] == 1 and found["newTerm"] > 0
+    by_state = sources.read_table(spark, f"{folder}/home/collections_by_state")
+    assert by_state.count() > 60 and by_state.agg(F.sum("count")).first()[0] == 216
+    assert sources.read_table(spark, f"{folder}/home/corrupt_lines").count() == 1
+    for name in ("counts", "training_precision", "area_under_roc", "tree_predictions", "logistic_predictions"):
+        assert sources.read_table(spark, f"{folder}/home/{name}").count() > 0
+
+
 def test_job_has_a_command_line():
     done = subprocess.run(
         [sys.executable, "-m", "loanloom.plans.job", "--help"], capture_output=True, text=True,

@@ -198,6 +198,44 @@ def test_confusion_and_precision_agree(spark):
     assert precision == pytest.approx({0: 5 / 7, 1: 3 / 4})
 
 
+def test_precision_of_a_class_never_predicted_is_zero(spark):
+    df = spark.createDataFrame([(0, 0)] * 5 + [(1, 0)] + [(2, None), (None, 0)], "label int, prediction int")
+    precision = {r.prediction: r.precision for r in evaluation.precision_by_label(df).collect()}
+    assert precision == pytest.approx({0: 5 / 7, 1: 0.0, 2: 0.0})
+    assert evaluation.precision_by_label(df.limit(0)).count() == 0
+
+
+def test_roc_curve_has_every_point(spark):
+    rows = [(1, 0.9, 2.0), (0, 0.8, 1.0), (1, 0.8, 1.0), (0, 0.3, 4.0), (1, 0.1, 1.0), (None, 0.5, 1.0), (1, None, 1.0)]
+    df = spark.createDataFrame(rows, "label int, score double, w double")
+    got = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(df, parts=3).collect())
+    want = [(0, 0), (0, 1 / 3), (0.5, 2 / 3), (1, 2 / 3), (1, 1)]
+    assert [x for p in got for x in p] == pytest.approx([x for p in want for x in p])
+    weighted = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(df, weight="w").collect())
+    want = [(0, 0), (0, 0.5), (0.2, 0.75), (1, 0.75), (1, 1)]
+    assert [x for p in weighted for x in p] == pytest.approx([x for p in want for x in p])
+    many = spark.range(5000).selectExpr("cast(id % 2 as int) as label", "cast(id as double) as score")
+    assert evaluation.roc_curve(many).count() == 5001
+
+
+def test_precision_equals_the_model_summary(spark):
+    rows = [(i % 5 == 0, float(i % 7), float(i % 3)) for i in range(300)]
+    df = spark.createDataFrame([(int(a), x, y) for a, x, y in rows], "label int, x double, y double")
+    vectors = features.assemble(features.weigh_classes(df), ["x", "y"], keep=["classWeight"])
+    model = models.fit(models.logistic_regression(), vectors)
+    scored = evaluation.score_rows(model.summary.predictions, "label", "classWeight")
+    got = {r.prediction: r.precision for r in evaluation.precision_by_label(scored, weight="classWeight").collect()}
+    assert [got[i] for i in (0, 1)] == pytest.approx(list(model.summary.precisionByLabel))
+
+
+def test_saved_flow_is_loaded(spark, folder):
+    df = spark.createDataFrame([(i % 2, float(i), 1.0) for i in range(40)], "label int, x double, classWeight double")
+    model = models.fit(models.flow(["x"], models.logistic_regression()), df)
+    models.save_model(model, f"{folder}/flow")
+    again = models.load_model("flow", f"{folder}/flow").transform(df)
+    assert [r.prediction for r in again.collect()] == [r.prediction for r in model.transform(df).collect()]
+
+
 def test_unweighted_tree_on_rare_collections_says_never(spark):
     """The imbalance lesson: without weights the tree gains nothing from predicting the rare class."""
     rows = materialize(plan.features(plan.clean(loans(spark, "/root/testdata/sf0.01"), ("loan_id",))), "f")

@@ -45,7 +45,7 @@ def test_equal(states):
 
 def test_number_against_text_column(spark):
     df = spark.createDataFrame([("0",), ("2",), ("x",), (None,), ("1.5",)], "c string")
-    assert [r.c for r in filters.where_not_equal(df, "c", 0).collect()] == ["2"]
+    assert [r.c for r in filters.where_not_equal(df, "c", 0).collect()] == ["2", "1.5"]
     assert [r.c for r in filters.where_not_equal(df, "c", 0.0).collect()] == ["2", "1.5"]
     assert [r.c for r in filters.where_equal(df, "c", "x").collect()] == ["x"]
 
@@ -181,6 +181,22 @@ def test_random_split_is_whole(feature_rows):
     assert sum(p.count() for p in parts) == feature_rows.count()
 
 
+def test_random_split_stays_when_the_layout_changes(spark):
+    left = spark.range(20_000).withColumnRenamed("id", "k")
+    df = left.join(left.withColumn("v", F.col("k") * 2), "k")
+    train, test = features.random_split(df, [0.7, 0.3], 5)
+    first = {r.k for r in train.collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        second = {r.k for r in test.collect()}
+        joined = train.join(test.select("k"), "k").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert joined == 0 and not first & second and len(first) + len(second) == 20_000
+    assert 0.67 < len(first) / 20_000 < 0.73
+
+
 def test_one_class_is_rejected(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 2.0)], "label int, x double")
     with pytest.raises(ValueError, match="one class only"):

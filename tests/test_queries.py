@@ -23,18 +23,18 @@ def test_registry_is_consistent():
 
 
 def test_queries_without_sql_are_the_ones_sql_cannot_state():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+    assert set(entry.QUERIES) - set(entry.ORACLES) == {
         "preview", "manifest", "random_split", "dt_predictions", "dt_reloaded", "lr_predictions",
         "lr_enet", "lr_precision", "lr_evaluate", "lr_auroc", "ml_flow",
     }
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLES))
 def test_query_equals_sql(spark, con, name):
     assert actual(entry.queries()[name](spark, SF)) == expected(con, entry.oracle_sql()[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(entry.QUERIES) - set(entry.ORACLES)))
 def test_query_without_sql_gives_rows(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
 
