@@ -94,7 +94,7 @@ def near_duplicates(
     percent: int = 80,
     bands: int = 40,
     rows: int = 6,
-    pivot_rounds: int = 2,
+    pivot_rounds: int = 3,
     rare_shingle: int = 100,
 ) -> DataFrame:
     """Components of documents whose shingle sets are ``percent`` similar or more.
@@ -160,10 +160,10 @@ def near_duplicates(
         union = F.size("x") + F.size("y") - F.col("common")
         return rows_.where(100 * F.col("common") >= percent * union).select("a", "b")
 
-    def settled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Components so far, and the bucket entries whose bucket still holds several."""
+    def settled(links: DataFrame, left: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Components so far, and the entries whose bucket still holds several of them."""
         found = materialize(connected_components(links), "components")
-        mapped = buckets.join(found, "node", "left").select(
+        mapped = left.join(found, "node", "left").select(
             "key", "node", "n", F.coalesce("component", "node").alias("component")
         )
         several = mapped.groupBy("key").agg(
@@ -185,14 +185,13 @@ def near_duplicates(
             "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"),
             F.col("p.component").alias("home"),
         )
-        met = current.join(pivots, "key").where(
-            (F.col("component") != F.col("home")) & fits("n", "pivot_n")
-        )
-        pairs = materialize(_pairs(met).join(checked, ["a", "b"], "left_anti"), "pairs")
+        # the pivot leaves its bucket: whoever could be linked with it has met it now
+        met = materialize(current.join(pivots, "key").where("node <> pivot"), "met")
+        apart = met.where((F.col("component") != F.col("home")) & fits("n", "pivot_n"))
+        pairs = materialize(_pairs(apart).join(checked, ["a", "b"], "left_anti"), "pairs")
         fresh = materialize(linked(pairs), "links")
         checked, links = checked.union(pairs), links.union(fresh)
-        if found is None or not fresh.isEmpty():
-            found, current = settled(links)
+        found, current = settled(links, met.select("key", "node", "n"))
         if current.isEmpty():
             break
     else:
@@ -204,7 +203,9 @@ def near_duplicates(
         mine = materialize(mine.join(spread, "item"), "shared")
         rare = mine.where(F.col("m") <= rare_shingle).select("item", "node", "n", "component")
         common = mine.groupBy("node").agg(F.count_if(F.col("m") > rare_shingle).alias("common"))
-        frequent = materialize(current.join(common, "node"), "open")
+        # a pair is made once, in the first of the buckets that both are in
+        mine_too = current.groupBy("node").agg(F.collect_set("key").alias("keys"))
+        frequent = materialize(current.join(common, "node").join(mine_too, "node"), "open")
 
         def other(rows_: DataFrame, *keep: str) -> DataFrame:
             return rows_.select(
@@ -216,9 +217,13 @@ def near_duplicates(
         by_rare = rare.alias("l").join(
             other(rare, "item").alias("r"), (F.col("l.item") == F.col("r.item")) & apart & fits("n", "pivot_n")
         )
-        theirs = other(frequent.withColumnRenamed("common", "pivot_common"), "key", "pivot_common")
+        theirs = other(
+            frequent.withColumnsRenamed({"common": "pivot_common", "keys": "pivot_keys"}),
+            "key", "pivot_common", "pivot_keys",
+        )
+        once = F.array_min(F.array_intersect("keys", "pivot_keys")) == F.col("l.key")
         by_bucket = frequent.alias("l").join(
-            theirs.alias("r"), (F.col("l.key") == F.col("r.key")) & apart & fits("common", "pivot_common")
+            theirs.alias("r"), (F.col("l.key") == F.col("r.key")) & apart & fits("common", "pivot_common") & once
         )
         met = by_rare.select("node", "pivot").union(by_bucket.select("node", "pivot"))
         pairs = materialize(_pairs(met).join(checked, ["a", "b"], "left_anti"), "pairs")
