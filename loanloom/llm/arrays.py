@@ -18,7 +18,7 @@ BASE = 0x9E3779B97F4A7C15 | 3
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 21):
+def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20):
     """Cut record batches so that ``column`` holds at most ``max_bytes`` in each.
 
     A single longer text is a piece of its own: texts are never cut here.

@@ -64,7 +64,7 @@ def grams(texts: list[str], sizes: tuple[int, ...], buckets: int) -> tuple[np.nd
 def _count(batches, langs, sizes, buckets):
     place = {lang: i for i, lang in enumerate(langs)}
     total = np.zeros(len(langs) * buckets, np.int64)
-    for batch in arrays.pieces(batches, "text"):
+    for batch in arrays.pieces(batches, "text", 1 << 19):
         of_lang = np.array([place[x] for x in batch.column(1).to_pylist()], np.int64)
         bucket, owner, _ = grams(batch.column(0).fill_null("").to_pylist(), sizes, buckets)
         total += np.bincount(of_lang[owner] * buckets + bucket, minlength=len(total))
@@ -130,7 +130,7 @@ def train(
 
 def _predict(batches, model):
     model = model.value
-    for batch in arrays.pieces(batches, "text"):
+    for batch in arrays.pieces(batches, "text", 1 << 19):
         texts = batch.column(batch.num_columns - 1).fill_null("").to_pylist()
         if model.langs:
             best, score, has = model.score(texts)

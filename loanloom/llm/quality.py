@@ -14,6 +14,8 @@ from loanloom.llm.arrays import U64
 
 LABELLERS = ("symbols", "capitals", "repeats", "echoes", "runs", "bars", "marks", "lengths", "sentences")
 GOOD, BAD, ABSTAIN = 0, 1, 2
+#: Bytes of text looked at together: each takes about two hundred bytes of arrays.
+PIECE = 1 << 19
 
 _UPPER, _LOWER, _DIGIT, _BLANK, _PLAIN, _SYMBOL = range(6)
 _KIND = np.full(256, _SYMBOL, np.uint8)
@@ -124,7 +126,7 @@ def _code(votes: np.ndarray) -> np.ndarray:
 
 def _count_votes(batches):
     total = np.zeros(3 ** len(LABELLERS), np.int64)
-    for batch in arrays.pieces(batches, "text"):
+    for batch in arrays.pieces(batches, "text", PIECE):
         total += np.bincount(_code(Facts(batch.column(0)).votes()), minlength=len(total))
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["code", "n"])
@@ -170,7 +172,7 @@ def estimate_accuracies(
 
 
 def _examples(batches, posterior, buckets):
-    for batch in arrays.pieces(batches, "text"):
+    for batch in arrays.pieces(batches, "text", PIECE):
         facts = Facts(batch.column(1))
         bad = posterior[_code(facts.votes())]
         owner, bucket, value = facts.features(buckets)
@@ -271,7 +273,7 @@ def _judge(batches, model, at):
     model = model.value
     for batch in batches:
         codes, bads, scores = [], [], []
-        for piece in arrays.pieces(iter([batch]), batch.schema.names[at]):
+        for piece in arrays.pieces(iter([batch]), batch.schema.names[at], PIECE):
             code, bad, score = model.judge(piece.column(at))
             codes.append(code), bads.append(bad), scores.append(score)
         extra = [pa.array(np.concatenate(x)) for x in (codes, bads, scores)] if codes else []
@@ -311,7 +313,7 @@ def classify(
 def _keep(batches, model, at, least):
     model = model.value
     for batch in batches:
-        for piece in arrays.pieces(iter([batch]), batch.schema.names[at]):
+        for piece in arrays.pieces(iter([batch]), batch.schema.names[at], PIECE):
             yield piece.filter(pa.array(model.judge(piece.column(at))[2] >= least))
 
 

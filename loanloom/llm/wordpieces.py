@@ -213,7 +213,7 @@ def encoder(path: str) -> Encoder:
 
 def _encode(batches, path, with_pieces):
     coder = encoder(path)
-    for batch in arrays.pieces(batches, "text", 1 << 22):
+    for batch in arrays.pieces(batches, "text", 1 << 21):
         texts = batch.column(1)
         ids, at = coder.ids(texts)
         data, where = arrays.flat(texts)
