@@ -8,11 +8,12 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm import arrays
 from loanloom.llm.arrays import U64
+from loanloom.session import materialize
 
 LAST = np.iinfo(np.int64).max
 #: Most windows in one stretch; only repetitive text reaches it.
@@ -29,33 +30,40 @@ def _window_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def stretches(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one minimiser: first byte, end, text number and minimiser.
+def stretches(
+    data: np.ndarray, at: np.ndarray, length: int, gram: int, slices: int = 1, heavy: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one minimiser: first byte, end, text number, minimiser and slice.
 
     The smallest hash of a window's ``gram``-byte strings depends on the window alone, so
     equal windows anywhere have the same one. Windows that overlap mostly share it, and
-    such a run is sent as one string of its windows' bytes.
+    such a run is sent as one string of its windows' bytes. Windows of a ``heavy`` minimiser
+    (sorted) go to slices by their own hash, so that no slice gets all of them.
     """
     n = len(data) - length + 1
     if n <= 0:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U64, np.int64))
     start = np.arange(len(data) - gram + 1)
-    low = _window_minimum(
-        arrays.span_hash(arrays.prefix_hash(data), start, start + gram), length - gram + 1
-    )
+    prefix = arrays.prefix_hash(data)
+    low = _window_minimum(arrays.span_hash(prefix, start, start + gram), length - gram + 1)
+    slot = arrays.mix(low) % U64(slices)
+    if heavy is not None and len(heavy):
+        hot = np.flatnonzero(heavy[np.minimum(np.searchsorted(heavy, low), len(heavy) - 1)] == low)
+        slot[hot] = arrays.mix(arrays.span_hash(prefix, hot, hot + length)) % U64(slices)
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
     inside = owner[:n] == owner[length - 1 :]
+    edge = (low[1:] != low[:-1]) | (slot[1:] != slot[:-1]) | (owner[1:n] != owner[: n - 1])
     first = inside.copy()
-    first[1:] &= ~inside[:-1] | (low[1:] != low[:-1]) | (owner[1:n] != owner[: n - 1])
+    first[1:] &= ~inside[:-1] | edge
     last = inside.copy()
-    last[:-1] &= ~inside[1:] | (low[1:] != low[:-1]) | (owner[1:n] != owner[: n - 1])
+    last[:-1] &= ~inside[1:] | edge
     begin, windows = np.flatnonzero(first), np.flatnonzero(last) - np.flatnonzero(first) + 1
     # repetitive text keeps one minimiser for long: cut it, its windows stay in one slice
     parts = -(-windows // LONGEST)
     part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
     windows = np.minimum(np.repeat(windows, parts) - part * LONGEST, LONGEST)
     begin = np.repeat(begin, parts) + part * LONGEST
-    return begin, begin + windows - 1 + length, owner[begin], low[begin]
+    return begin, begin + windows - 1 + length, owner[begin], low[begin], slot[begin].astype(np.int64)
 
 
 def gather(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -65,39 +73,51 @@ def gather(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return data[shift + np.arange(len(shift))]
 
 
-def _spread(batches, length, gram, slices):
+def _spread(batches, length, gram, slices, heavy):
+    """The different strings of a piece of text with their smallest and largest key, per slice."""
     packer = zstandard.ZstdCompressor(level=3)
     for batch in arrays.pieces(batches, "text"):
         data, at = arrays.flat(batch.column(2))
-        begin, end, owner, low = stretches(data, at, length, gram)
+        begin, end, owner, low, slot = stretches(data, at, length, gram, slices, heavy)
         if not len(begin):
             continue
-        slot = (arrays.mix(low) % U64(slices)).astype(np.int64)
-        # one copy of each string per batch, with all its places
         text = arrays.span_hash(arrays.prefix_hash(data), begin, end)
         order = np.lexsort((text, low, slot))  # strings of one minimiser compress well together
         begin, end, owner, text, slot = (x[order] for x in (begin, end, owner, text, slot))
         new = np.ones(len(text), bool)
         new[1:] = (text[1:] != text[:-1]) | (slot[1:] != slot[:-1])
-        key, document = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        head = np.flatnonzero(new)
+        key = batch.column(0).to_numpy()[owner]
+        least, most = np.minimum.reduceat(key, head), np.maximum.reduceat(key, head)
+        begin, end, slot = begin[head], end[head], slot[head]
         cut = np.append(np.flatnonzero(np.diff(slot, prepend=-1)), len(slot))
         rows = []
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            mine = new[a:b]
-            u0, u1 = begin[a:b][mine], end[a:b][mine]
             rows.append((
                 int(slot[a]),
                 *(packer.compress(np.ascontiguousarray(x).tobytes()) for x in (
-                    gather(data, u0, u1), (u1 - u0).astype(np.int32),
-                    np.diff(np.append(np.flatnonzero(mine), b - a)).astype(np.int32),
-                    key[owner[a:b]], document[owner[a:b]], (begin[a:b] - at[owner[a:b]]).astype(np.int32),
+                    gather(data, begin[a:b], end[a:b]), (end - begin)[a:b].astype(np.int32), least[a:b], most[a:b],
                 )),
             ))
-        names = ["slice", "bytes", "lengths", "times", "key", "document", "start"]
-        kinds = [pa.int64(), *[pa.binary()] * 6]
+        names = ["slice", "bytes", "lengths", "least", "most"]
+        kinds = [pa.int64(), *[pa.binary()] * 4]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
+def _places(batches, length, gram, slices, heavy):
+    """Where each string stands: slice, the string's hash, key, document and start."""
+    for batch in arrays.pieces(batches, "text"):
+        data, at = arrays.flat(batch.column(2))
+        begin, end, owner, _, slot = stretches(data, at, length, gram, slices, heavy)
+        text = arrays.span_hash(arrays.prefix_hash(data), begin, end).view(np.int64)
+        columns = (
+            slot, text, batch.column(0).to_numpy()[owner], batch.column(1).to_numpy()[owner], begin - at[owner]
+        )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], ["slice", "string", "key", "document", "start"]
+        )
+
+
 def _words(data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Eight bytes from each place as one number, in lexical order; 0 past the stop."""
     out = np.zeros(len(at), U64)
@@ -187,34 +207,26 @@ def maximal_intervals(common: np.ndarray, before: np.ndarray) -> list[tuple[int,
 
 
 class Slice:
-    """All strings of one slice, each once, and where they occur."""
+    """All strings of one slice, each once, with the smallest and largest key that hold them."""
 
     def __init__(self, table: pa.Table):
         open_ = zstandard.ZstdDecompressor()
 
         def column(name, kind):
-            return [np.frombuffer(open_.decompress(x), kind) for x in table[name].to_pylist()]
+            return np.concatenate([np.frombuffer(open_.decompress(x), kind) for x in table[name].to_pylist()])
 
-        data = np.concatenate(column("bytes", np.uint8))
-        sizes = np.concatenate(column("lengths", np.int32)).astype(np.int64)
-        times = np.concatenate(column("times", np.int32))
+        data = column("bytes", np.uint8)
+        sizes = column("lengths", np.int32).astype(np.int64)
         end = np.cumsum(sizes)
-        name = arrays.hash_spans(data, end - sizes, end)
-        _, first, back = np.unique(name, return_index=True, return_inverse=True)
+        self.name, first, back = np.unique(
+            arrays.hash_spans(data, end - sizes, end), return_index=True, return_inverse=True
+        )
         self.data = gather(data, (end - sizes)[first], end[first])
         self.end = np.cumsum(sizes[first])
         self.begin = self.end - sizes[first]
-        self.string = np.repeat(back, times)
-        self.key = np.concatenate(column("key", np.int64))
-        self.document = np.concatenate(column("document", np.int64))
-        self.start = np.concatenate(column("start", np.int32)).astype(np.int64)
-        order = np.argsort(self.string, kind="stable")
-        self.string, self.key, self.document, self.start = (
-            x[order] for x in (self.string, self.key, self.document, self.start)
-        )
-        self.cut = np.searchsorted(self.string, np.arange(len(self.end) + 1))
-        self.low = np.minimum.reduceat(self.key, self.cut[:-1])
-        self.high = np.maximum.reduceat(self.key, self.cut[:-1])
+        self.low, self.high = np.full(len(first), LAST), np.full(len(first), -LAST - 1)
+        np.minimum.at(self.low, back, column("least", np.int64))
+        np.maximum.at(self.high, back, column("most", np.int64))
 
     def repeats(self, length: int) -> tuple[np.ndarray, ...]:
         """Maximal repeats of different strings: strings and places in suffix order, then
@@ -247,43 +259,39 @@ class Slice:
         columns = np.array(found, np.int64).reshape(-1, 3).T
         return string, start - self.begin[string], *columns
 
-    def occurrences(self, strings: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Every occurrence of the strings: which string it is of, its number, its start."""
-        n = np.diff(self.cut)[strings]
-        of = np.repeat(np.arange(len(strings)), n)
-        at = np.repeat(self.cut[strings] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return of, at, self.start[at] + places[of]
-
-    def groups(self, length: int, at_once: int = 1 << 20):
-        """Occurrences of maximal repeats across documents, some groups at a time.
+    def groups(self, length: int):
+        """Members of the repeats across documents, some groups at a time.
 
-        Yields occurrence number, start, length, group and smallest key of the group. First
-        come the strings that several documents hold as a whole, then the intervals.
+        Yields string, place in it, length and group of each. First come the strings that
+        several documents hold as a whole, then the intervals. A group is named by the hash
+        of its bytes, so equal repeats have one name and others differ, in whatever slice.
         """
+        raw = self.data.tobytes()
+
+        def named(begin, size):
+            spans = zip(begin.tolist(), (begin + size).tolist())
+            digests = b"".join(hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in spans)
+            return np.frombuffer(digests, np.int64)
+
         whole = np.flatnonzero(self.low < self.high)
-        of, at, start = self.occurrences(whole, np.zeros(len(whole), np.int64))
-        yield at, start, (self.end - self.begin)[whole][of], of, self.low[whole][of]
+        size = (self.end - self.begin)[whole]
+        yield whole, np.zeros(len(whole), np.int64), size, named(self.begin[whole], size)
         strings, places, first, last, depth = self.repeats(length)
         if not len(first):
             return
         pairs = np.stack([first, last + 1], 1).ravel()
-        ends = np.append(pairs, len(strings))  # reduceat needs a place behind the last
 
         def over(least, values, none):
-            return least.reduceat(np.append(values, none), ends)[:-1][::2]
+            return least.reduceat(np.append(values, none), pairs)[::2]
 
         low, high = over(np.minimum, self.low[strings], LAST), over(np.maximum, self.high[strings], -LAST)
-        weight = np.concatenate([[0], np.cumsum(np.diff(self.cut)[strings])])
-        cost = np.cumsum(np.where(low < high, weight[last + 1] - weight[first], 0))
         useful = np.flatnonzero(low < high)
-        part = cost[useful] // at_once
-        for chunk in np.split(useful, np.flatnonzero(np.diff(part)) + 1) if len(useful) else []:
-            n = last[chunk] - first[chunk] + 1
-            group = np.repeat(np.arange(len(chunk)), n)
-            member = np.repeat(first[chunk] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            of, at, start = self.occurrences(strings[member], places[member])
-            group = group[of]
-            yield at, start, depth[chunk][group], len(whole) + chunk[group], low[chunk][group]
+        for chunk in _chunks((last - first + 1)[useful]):
+            chunk = useful[chunk]
+            member, of = _ranges(first[chunk], last[chunk] - first[chunk] + 1)
+            head = first[chunk]
+            group = named(self.begin[strings[head]] + places[head], depth[chunk])
+            yield strings[member], places[member], depth[chunk][of], group[of]
 
 
 def _ranges(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -297,21 +305,8 @@ def _chunks(cost: np.ndarray, at_once: int = 1 << 21) -> list[np.ndarray]:
     return np.split(np.arange(len(cost)), np.flatnonzero(np.diff(part)) + 1) if len(cost) else []
 
 
-def _union(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The spans of each owner with those that touch made one."""
-    order = np.lexsort((start, owner))
-    owner, start, end = owner[order], start[order], end[order]
-    shift = owner * (int(end.max()) + 1 if len(end) else 1)  # owners apart on one line
-    reach = np.maximum.accumulate(end + shift) if len(end) else end
-    new = np.ones(len(owner), bool)
-    new[1:] = (start + shift)[1:] > reach[:-1]
-    head = np.flatnonzero(new)
-    tail = np.append(head[1:], len(owner)) - 1
-    return owner[head], start[head], (reach - shift)[tail] if len(head) else end
-
-
 def _covered(part: Slice, length: int):
-    """Occurrence, start and end of what earlier documents hold, a bounded number at a time.
+    """String, first byte, end and smallest key of what an earlier document holds of each string.
 
     A maximal repeat gives each window in it the smallest key of its group; a window is
     covered in every document with a larger key. Windows of a string that share their
@@ -333,35 +328,33 @@ def _covered(part: Slice, length: int):
     tail = np.append(head[1:], len(low)) - 1
     useful = low[head] < part.high[owner[head]]
     head, tail = head[useful], tail[useful]
-    string, key = owner[head], low[head]
-    times = np.diff(part.cut)[string]
-    for chunk in _chunks(times):
-        at, of = _ranges(part.cut[string[chunk]], times[chunk])
-        of = chunk[of]
-        later = part.key[at] > key[of]
-        at, of = at[later], of[later]
-        start = part.start[at] + head[of] - base[string[of]]
-        yield at, start, start + tail[of] - head[of] + length
-
-
-def _occurrences(table: pa.Table, length: int, everything: bool):
+    first = head - base[owner[head]]
+    return owner[head], first, first + tail - head + length, low[head]
+
+
+def _members(table: pa.Table, length: int) -> pa.Table:
     part = Slice(table)
-    names = ["document", "key", "start", "length", "group", "first_key"]
-    if everything:
-        out = [
-            (part.document[at], part.key[at], start, size, group, low)
-            for at, start, size, group, low in part.groups(length)
-        ]
-    else:
-        _, first, document = np.unique(
-            np.stack([part.key, part.document], 1), axis=0, return_index=True, return_inverse=True
-        )
-        spans = [_union(document.ravel()[at], start, end) for at, start, end in _covered(part, length)]
-        none = np.zeros(0, np.int64)
-        owner, start, end = _union(*(np.concatenate(c) for c in zip((none, none, none), *spans)))
-        zero = np.zeros(len(owner), np.int64)
-        out = [(part.document[first[owner]], part.key[first[owner]], start, end - start, zero, zero)]
-    return pa.table({n: np.concatenate(c).astype(np.int64) for n, c in zip(names, zip(*out))})
+    none = np.zeros(0, np.int64)
+    string, place, size, group = (
+        np.concatenate(c) for c in zip((none, none, none, none), *part.groups(length))
+    )
+    # a string that is held whole may be in an interval too
+    _, once = np.unique(np.stack([group, string, place], 1), axis=0, return_index=True)
+    columns = (part.name.view(np.int64)[string], place, size, group)
+    return pa.table({
+        "slice": np.full(len(once), table["slice"][0].as_py()),
+        **{n: c[once] for n, c in zip(("string", "place", "length", "group"), columns)},
+    })
+
+
+def _cover(table: pa.Table, length: int) -> pa.Table:
+    part = Slice(table)
+    string, first, end, least = _covered(part, length)
+    columns = (part.name.view(np.int64)[string], first, end, least)
+    return pa.table({
+        "slice": np.full(len(string), table["slice"][0].as_py()),
+        **dict(zip(("string", "first", "end", "least"), columns)),
+    })
 
 
 def _source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -373,17 +366,48 @@ def _source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def _repeats(source: DataFrame, length: int, gram: int, slice_bytes: int, everything: bool) -> DataFrame:
+def _sliced(source: DataFrame, length: int, gram: int, slice_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The strings of every slice, and where each string stands.
+
+    Only strings meet in a slice; occurrences are
+    joined to what it finds, so a hot string is split by the adaptive skew join.
+    """
     total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     slices = int(total // slice_bytes) + 1
-    spread = source.mapInArrow(
-        partial(_spread, length=length, gram=gram, slices=slices),
-        "slice long, bytes binary, lengths binary, times binary, key binary, document binary, start binary",
+    options = dict(length=length, gram=gram, slices=slices, heavy=None)
+    strings = source.mapInArrow(
+        partial(_spread, **options), "slice long, bytes binary, lengths binary, least binary, most binary"
     )
-    return spread.groupBy("slice").applyInArrow(
-        lambda table: _occurrences(table, length, everything),
-        "document long, key long, start long, length long, group long, first_key long",
+    places = source.mapInArrow(
+        partial(_places, **options), "slice long, string long, key long, document long, start long"
     )
+    return strings, places
+
+
+def _joined(parts: DataFrame) -> DataFrame:
+    """Parts that touch and have the same occurrences, as one repeat; a row per occurrence.
+
+    Their occurrences are the same when they are so relative to the first one.
+    """
+    anchors = parts.groupBy("group").agg(F.min(F.struct("key", "document", "start")).alias("a"))
+    shifted = parts.join(anchors, "group").withColumn("shift", F.col("start") - F.col("a.start"))
+    same = [F.bit_xor(F.xxhash64(F.lit(k), "key", "document", "shift")).alias(f"x{k}") for k in range(2)]
+    sets = shifted.groupBy("group").agg(
+        F.first("a").alias("a"), F.first("length").alias("length"), F.count(F.lit(1)).alias("n"), *same
+    ).select(
+        "group", "n", "x0", "x1", F.col("a.key").alias("first_key"), F.col("a.document").alias("first_document"),
+        F.col("a.start").alias("begin"), (F.col("a.start") + F.col("length")).alias("end"),
+    )
+    alike = ["first_key", "first_document", "n", "x0", "x1"]
+    order = Window.partitionBy(*alike).orderBy("begin", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = sets.withColumn("new", F.when(F.col("begin") <= before, 0).otherwise(1)).withColumn(
+        "run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    whole = runs.groupBy(*alike, "run").agg(
+        F.min(F.struct("begin", "end", "group")).alias("head"), F.max("end").alias("end")
+    ).select(F.col("head.group").alias("group"), (F.col("end") - F.col("head.begin")).alias("length"), "first_key")
+    return parts.drop("length").join(whole, "group")
 
 
 def repeat_groups(
@@ -402,18 +426,31 @@ def repeat_groups(
 
     Windows of ``length`` bytes go to slices by their minimiser, so all occurrences of a
     window meet in one slice of about ``slice_bytes`` of text; a slice holds each distinct
-    string once. There an enhanced suffix array is built over the windows that occur in
+    string of a piece of text once. There an enhanced suffix array is built over the windows that occur in
     several documents, a stack scan makes its common-prefix intervals, and those whose
-    suffixes follow different bytes are the maximal repeats. A repeat that is longer than
-    a stretch of one minimiser appears as overlapping parts, which cover it without a gap.
+    suffixes follow different bytes are the maximal repeats within a stretch of one
+    minimiser. Parts that touch and have the same occurrences are joined into the full
+    repeat. A long repeat of which some parts also occur elsewhere is not one group: it
+    appears as its parts, each with all its own occurrences, which cover it without a gap.
+    In text that repeats itself for more than ``LONGEST`` windows a part may lack the
+    occurrences that a cut goes through; other parts cover those.
 
     Null text is empty. A null id comes after all others. Rows of one id count as one
     document. An empty table gives no rows.
     """
     source = _source(docs, id_column, text_column)
-    found = _repeats(source, length, gram, slice_bytes, True)
-    return found.select(
-        F.xxhash64("first_key", "length", "group").alias("group"), "length",
+    strings, places = _sliced(source, length, gram, slice_bytes)
+    members = strings.groupBy("slice").applyInArrow(
+        lambda table: _members(table, length), "slice long, string long, place long, length long, group long"
+    )
+    parts = materialize(
+        members.join(places, ["slice", "string"]).select(
+            "group", "length", "key", "document", (F.col("start") + F.col("place")).alias("start")
+        ),
+        "parts",
+    )
+    return _joined(parts).select(
+        F.xxhash64("group", "length").alias("group"), "length",
         F.when(F.col("key") != int(LAST), F.col("key")).alias(id_column), "document", "start", "first_key",
     )
 
@@ -467,9 +504,13 @@ def remove_repeats(
     and for nulls; rows of one id do not remove each other's bytes.
     """
     source = _source(docs, id_column, text_column)
-    found = _repeats(source, length, gram, slice_bytes, False)
-    spans = found.select(
-        "key", "document", F.struct(F.col("start"), (F.col("start") + F.col("length")).alias("end")).alias("span")
+    strings, places = _sliced(source, length, gram, slice_bytes)
+    cover = strings.groupBy("slice").applyInArrow(
+        lambda table: _cover(table, length), "slice long, string long, first long, end long, least long"
+    )
+    span = F.struct((F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("end")).alias("end"))
+    spans = places.join(cover, ["slice", "string"]).where("key > least").select(
+        "key", "document", span.alias("span")
     ).groupBy("key", "document").agg(F.collect_list("span").alias("spans"))
     texts = source.mapInArrow(_compress, "key long, document long, packed binary")
     cut = texts.join(spans, ["key", "document"], "left").select("key", "packed", "spans").mapInArrow(

@@ -241,6 +241,33 @@ def test_repeat_groups_hold_all_occurrences(spark):
         assert len(mine) == sum(t.count(mine[0]) for _, t in rows)
 
 
+@pytest.mark.parametrize("slice_bytes", [150, 10**6])
+def test_repeat_groups_over_several_slices(spark, slice_bytes):
+    rnd = random.Random(5)
+
+    def some(n):
+        return "".join(rnd.choice("abcdefgh ") for _ in range(n))
+
+    passages = [some(300) for _ in range(3)]
+    rows = [(i, some(30) + "#".join([passages[i % 3], some(40), passages[(i + 1) % 3]]) + some(30)) for i in range(9)]
+    rows += [(20, some(500)), (21, some(20) + passages[0][100:200] + some(20))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    groups = repeats.repeat_groups(df, length=20, gram=6, slice_bytes=slice_bytes).collect()
+    texts = dict(rows)
+    found = {}
+    for g in groups:
+        found.setdefault(g.group, []).append((texts[g.doc_id][g.start : g.start + g.length], g.doc_id, g.first_key))
+    for mine in found.values():
+        assert len({t for t, _, _ in mine}) == 1
+        assert len(mine) == sum(t.count(mine[0][0]) for _, t in rows)
+        assert {k for _, _, k in mine} == {min(d for _, d, _ in mine)}
+    whole = {mine[0][0] for mine in found.values()}
+    # passages of one set of occurrences are one repeat
+    assert all(any(p in w for w in whole) for p in passages[1:])
+    assert passages[0][100:200] in whole
+    assert len({(mine[0][0]) for mine in found.values()}) == len(found)
+
+
 def test_repeats_awkward_rows(spark):
     df = awkward(spark)
     got = repeats.remove_repeats(df)
