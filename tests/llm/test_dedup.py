@@ -166,6 +166,15 @@ def test_lines_equal_brute_force(spark):
     assert texts == {d: "\n".join(t for k, t in enumerate(text.split("\n")) if got[d, k]) for d, text in docs}
 
 
+def test_lines_that_differ_by_white_space(spark):
+    rows = [(1, "one two three\r\n\r\nshort\r\n \t\r\nlast line\f"), (2, "one\ttwo  three\n\nshort\n\t\nLAST\x0b line")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.line_no): (r.kept, r.n_copies) for r in lines.line_components(df).collect()}
+    assert got == {(d, k): (d == 1, 2) if k % 2 == 0 else (True, 1) for d in (1, 2) for k in range(5)}
+    kept = {r.doc_id: r.text for r in lines.drop_lines(df).collect()}
+    assert kept == {1: rows[0][1], 2: "\n\t"}
+
+
 def test_lines_use_no_python(spark):
     plan = lines.line_components(spark.createDataFrame([(1, "a line of text\nanother")], "doc_id long, text string"))
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
