@@ -73,6 +73,20 @@ def gather(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return data[shift + np.arange(len(shift))]
 
 
+def _load(batches, length, gram):
+    """Bytes and windows of the different strings of each minimiser, a piece of text at a time."""
+    for batch in arrays.pieces(batches, "text"):
+        data, at = arrays.flat(batch.column(2))
+        begin, end, _, low, _ = stretches(data, at, length, gram)
+        _, first = np.unique(arrays.span_hash(arrays.prefix_hash(data), begin, end), return_index=True)
+        low, of = np.unique(low[first], return_inverse=True)
+        size = (end - begin)[first]
+        sums = [np.bincount(of, w, len(low)).astype(np.int64) for w in (size, size - length + 1)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (low.view(np.int64), *sums)], ["low", "size", "windows"]
+        )
+
+
 def _spread(batches, length, gram, slices, heavy):
     """The different strings of a piece of text with their smallest and largest key, per slice."""
     packer = zstandard.ZstdCompressor(level=3)
@@ -369,12 +383,21 @@ def _source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 def _sliced(source: DataFrame, length: int, gram: int, slice_bytes: int) -> tuple[DataFrame, DataFrame]:
     """The strings of every slice, and where each string stands.
 
-    Only strings meet in a slice; occurrences are
+    A minimiser whose different strings alone pass ``slice_bytes`` is heavy: its windows are
+    dealt over all slices by their own hash. Only strings meet in a slice; occurrences are
     joined to what it finds, so a hot string is split by the adaptive skew join.
     """
     total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    slices = int(total // slice_bytes) + 1
-    options = dict(length=length, gram=gram, slices=slices, heavy=None)
+    load = source.mapInArrow(partial(_load, length=length, gram=gram), "low long, size long, windows long")
+    heavy = (
+        load.groupBy("low").agg(F.sum("size").alias("size"), F.sum("windows").alias("windows"))
+        .where(F.col("size") > slice_bytes).collect()
+    )
+    # alone, each window of a heavy minimiser is a string
+    slices = int((total + length * sum(r.windows for r in heavy)) // slice_bytes) + 1
+    options = dict(
+        length=length, gram=gram, slices=slices, heavy=np.sort(np.array([r.low for r in heavy], np.int64).view(U64))
+    )
     strings = source.mapInArrow(
         partial(_spread, **options), "slice long, bytes binary, lengths binary, least binary, most binary"
     )
@@ -424,7 +447,8 @@ def repeat_groups(
     ``start`` and ``first_key`` (smallest id of the group) per occurrence. Texts are UTF-8
     bytes; no match crosses documents.
 
-    Windows of ``length`` bytes go to slices by their minimiser, so all occurrences of a
+    Windows of ``length`` bytes go to slices by their minimiser, and those of a minimiser with
+    more than ``slice_bytes`` of different text by their own hash, so all occurrences of a
     window meet in one slice of about ``slice_bytes`` of text; a slice holds each distinct
     string of a piece of text once. There an enhanced suffix array is built over the windows that occur in
     several documents, a stack scan makes its common-prefix intervals, and those whose

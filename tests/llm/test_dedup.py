@@ -6,8 +6,9 @@ import re
 
 import numpy as np
 import pytest
+import zstandard
 
-from loanloom.llm import exact, graph, lines, minhash, repeats
+from loanloom.llm import arrays, exact, graph, lines, minhash, repeats
 from tests.llm.data import awkward, near_copies
 
 
@@ -277,6 +278,25 @@ def test_repeat_groups_over_several_slices(spark, slice_bytes):
     assert len({(mine[0][0]) for mine in found.values()}) == len(found)
 
 
+def test_a_heavy_minimiser_is_dealt_over_slices(spark):
+    rnd = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = np.frombuffer("".join(rnd.choice(letters) for _ in range(80_000)).encode(), np.uint8)
+    at = np.arange(0, len(names), 8)
+    low = at[np.argmin(arrays.span_hash(arrays.prefix_hash(names), at, at + 8))]
+    gram = bytes(names[low : low + 8]).decode()
+    rows = [(i, "".join(gram + "".join(rnd.choice(letters) for _ in range(30)) for _ in range(20))) for i in range(40)]
+    rows += [(50 + i, t[: 300 + i]) for i, t in rows[:5]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    strings, _ = repeats._sliced(repeats._source(df, "doc_id", "text"), 50, 8, 4_000)
+    sizes = {}
+    for r in strings.collect():
+        sizes[r.slice] = sizes.get(r.slice, 0) + len(zstandard.ZstdDecompressor().decompress(r.bytes))
+    assert max(sizes.values()) < 3 * 4_000 and len(sizes) > 50
+    got = repeats.remove_repeats(df, slice_bytes=4_000, with_text=False)
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == brute_repeats([(i, t.encode()) for i, t in rows], 50)
+
+
 def test_repeats_awkward_rows(spark):
     df = awkward(spark)
     got = repeats.remove_repeats(df)
