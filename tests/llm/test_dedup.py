@@ -176,6 +176,17 @@ def test_lines_that_differ_by_white_space(spark):
     assert kept == {1: rows[0][1], 2: "\n\t"}
 
 
+def test_repetitive_lines_have_whole_signatures(spark):
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(200):
+        part = "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(30, 60)))
+        rows.append((part * rnd.randint(2, 5),))
+    df = spark.createDataFrame(rows, "line string").selectExpr("encode(line, 'UTF-8') as line")
+    got = lines._signatures(df, 8).collect()
+    assert len(got) == 200 and all(len(r.s) == 24 and r.s == sorted(set(r.s)) for r in got)
+
+
 def test_lines_use_no_python(spark):
     plan = lines.line_components(spark.createDataFrame([(1, "a line of text\nanother")], "doc_id long, text string"))
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
