@@ -48,17 +48,14 @@ def run(
 ) -> LoanReport:
     """Run the flow on ``csv``; tables, results and models go under ``home``.
 
-    CSV lines that do not fit the schema are stored whole in ``corrupt_lines``, and
+    Without ``schema`` it is inferred first. CSV lines that do not fit the schema are stored whole in ``corrupt_lines``, and
     ``unreadable`` counts them and the texts without a number in the unit columns. Both
     stay out of the loan table and of the results.
     """
-    raw = read_csv(spark, csv, schema=schema, corrupt_column=CORRUPT if schema else None)
-    if CORRUPT in raw.columns:
-        raw = materialize(raw, "csv")
-        bad = raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-        raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    else:
-        bad = spark.createDataFrame([], f"{CORRUPT} string")
+    schema = schema or read_csv(spark, csv).schema  # inferred once
+    raw = materialize(read_csv(spark, csv, schema=schema, corrupt_column=CORRUPT), "csv")
+    bad = raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     keep = tuple(c for c in ("loan_id",) if c in raw.columns)
     table_path, tree_path = f"{home}loans", f"{home}tree"
     write_table(plan.clean(raw, keep), table_path, fmt=fmt)

@@ -49,6 +49,17 @@ def test_job_stores_results_and_counts_what_it_cannot_read(spark, folder):
         assert sources.read_table(spark, f"{folder}/home/{name}").count() > 0
 
 
+def test_job_counts_corrupt_lines_without_a_schema(spark, folder):
+    raw = loans(spark, SF)
+    sources.write_csv(raw.coalesce(1), f"{folder}/csv")
+    with open(f"{folder}/csv/extra.csv", "w") as f:
+        f.write(",".join(raw.columns) + "\n1\n")  # too few fields
+    report = job.run(spark, f"{folder}/csv", f"{folder}/home/")
+    found = {r.what: r.rows for r in report.unreadable.collect()}
+    assert found["corrupt lines"] == 1 and report.counts.first().loans == 15_000
+    assert sources.read_table(spark, f"{folder}/home/corrupt_lines").count() == 1
+
+
 def test_job_has_a_command_line():
     done = subprocess.run(
         [sys.executable, "-m", "loanloom.plans.job", "--help"], capture_output=True, text=True,
