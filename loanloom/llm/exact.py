@@ -1,4 +1,4 @@
-"""Exact deduplication by merging sorted runs of digests along a tree of partitions."""
+"""Exact deduplication by aggregating digests along a tree of partitions."""
 
 from __future__ import annotations
 
@@ -29,12 +29,12 @@ def digests(docs: DataFrame, id_column: str, text_column: str, row: Column) -> D
 def tree_merge(leaves: DataFrame, fan: int = 8) -> DataFrame:
     """``digest``, ``verifier``, ``least`` and ``size`` of every distinct text.
 
-    ``leaves`` has the sorted run of every partition (``node``). In each round ``fan``
-    neighbouring partitions hand their runs to the first of them, which merges them and
-    keeps the smallest identifier of each digest whose verifier agrees; after
-    log(partitions) rounds partition 0 has the run of all. A node's run is spread over
-    tasks by digest, so none of them holds a run whole, and equal digests inside one task
-    are merged before they are sent.
+    ``leaves`` has the distinct digests of every partition (``node``). In each round ``fan``
+    neighbouring partitions become one by a grouped aggregate, which keeps the smallest
+    identifier of each digest whose verifier agrees; after log(partitions) rounds partition
+    0 has all. The shuffle is by hash, so no sorted run is exchanged or merged in order. A
+    node's digests are spread over tasks, and equal ones inside one task are merged
+    before they are sent.
     """
     level, runs = 0, leaves
     nodes = (leaves.agg(F.max("node")).first()[0] or 0) + 1
