@@ -109,9 +109,22 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each run of bytes other than ASCII white space, and its text's number."""
-    inside = ~_SPACE[data]
+#: Bytes below 0x80 other than 0-9 and a-z stand between plain words.
+PLAIN = np.ones(256, bool)
+PLAIN[:0x30] = PLAIN[0x3A:0x61] = PLAIN[0x7B:0x80] = False
+#: A-Z as a-z.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def words(
+    data: np.ndarray, at: np.ndarray, letters: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes other than ASCII white space, and its text's number.
+
+    ``letters`` marks the bytes that make a word, where it is something else.
+    """
+    inside = ~_SPACE[data] if letters is None else letters[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -122,6 +135,19 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return start, end, np.searchsorted(at, start, side="right") - 1
 
 
+def distinct_spans(
+    data: np.ndarray, start: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """A number per span, the same for equal bytes only, and the bytes behind each number."""
+    size = end - start
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    joined = data[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
+    spans = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(joined))]
+    ).dictionary_encode()
+    return spans.indices.to_numpy(zero_copy_only=False).astype(np.int64), spans.dictionary
+
+
 def shingles(texts: pa.Array, width: int) -> list[np.ndarray]:
     """Sorted distinct hashes of ``width``-word shingles of every text, A-Z as a-z.
 

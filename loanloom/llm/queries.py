@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import exact, langid, lines, minhash, neighbours, packing, quality, repeats, secrets, wordpieces
+from loanloom.llm import (
+    exact,
+    langid,
+    licences,
+    lines,
+    minhash,
+    neighbours,
+    packing,
+    periods,
+    quality,
+    repeats,
+    resampling,
+    secrets,
+    wordpieces,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +79,58 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), tokenizer, with_ids=False)
 
 
+def with_planted_runs(docs):
+    """Every tenth document by its hash goes on repeating a stretch of its words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = r"regexp_extract_all(text, '([^\\x20\\x09-\\x0D]+)', 1)"
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "w", F.when((F.col("h") % 10 == 0) & F.col("text").isNotNull(), F.expr(words))
+    )
+    g = F.floor(F.col("h") / 10)
+    sized = chosen.withColumn("n", F.when(F.size("w") > 0, F.size("w"))).withColumn(
+        "a", (g % F.col("n")).cast("int")
+    ).withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    again = F.expr(
+        "slice(flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)"
+    )
+    planted = F.array_join(F.concat(F.slice("w", 1, F.col("a")), again), " ")
+    return sized.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_internal_pattern_runs(spark, sf_dir):
+    found = periods.periodic_runs(with_planted_runs(documents(spark, sf_dir)))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length as l, -r.start as s, -r.period as p)))")
+    named = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2(named, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_rare_word_licences(spark, sf_dir):
+    found = licences.licences(documents(spark, sf_dir))
+    base = F.expr("filter(matches, m -> m.base)")
+
+    def labels(matches):
+        return F.array_join(F.array_sort(F.array_distinct(matches["label"])), ",")
+
+    return found.withColumn("base", base).select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.col("base.word")).alias("first_word"), F.array_max(F.col("base.word")).alias("last_word"),
+        labels(F.col("base")).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.col("matches.score")), F.lit(0.0)).alias("score"),
+    )
+
+
+def op13_importance_resampling(spark, sf_dir):
+    return resampling.resample(
+        documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), longest=1, buckets=10_000, percent=10,
+        least_words=20, seed=2024,
+    ).drop("n_words")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,6 +144,9 @@ QUERIES = {
         op8_exact_tree_merge,
         op9_similarity_sketches,
         op10_best_fit_packing,
+        op11_internal_pattern_runs,
+        op12_rare_word_licences,
+        op13_importance_resampling,
     )
 }
 
