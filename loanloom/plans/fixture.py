@@ -113,9 +113,9 @@ def pack_csv_archives(df: DataFrame, folder: str, sep: str = ",") -> None:
         ) as text:
             text.write(header + "\n")
             for batch in batches:
-                for value in batch["line"]:
-                    text.write(value.as_py() + "\n")
-                    rows += 1
+                lines = batch["line"].to_pylist()
+                text.write("".join(f"{line}\n" for line in lines))
+                rows += len(lines)
         where.move(attempt, name)
         yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
 

@@ -363,3 +363,69 @@ def test_long_member_is_whole(spark, folder):
     df = sources.read_zipped_csv(spark, folder, StructType.fromDDL("id int, term string"))
     total = df.agg(F.count("id"), F.sum("id"), F.sum(F.length("term"))).first()
     assert tuple(total) == (60_000, sum(range(60_000)), sum(i % 300 for i in range(60_000)))
+
+
+def task_members(spark, lines):
+    """How many tasks gave lines, and how many members each of them read."""
+    per_task = lines.withColumn("task", F.spark_partition_id()).groupBy("task").agg(
+        F.countDistinct("archive", "member").alias("n")
+    )
+    return sorted(r.n for r in per_task.collect())
+
+
+def test_one_archive_is_read_by_many_tasks(spark, folder):
+    body = "id,term\n" + "1,x\n" * 300_000
+    make_zip(f"{folder}/many.zip", [(f"m{i}.csv", body) for i in range(6)])
+    lines = sources.read_zipped_lines(spark, folder)
+    assert task_members(spark, lines) == [1] * 6
+    assert lines.count() == 6 * 300_001
+    numbers = lines.groupBy("member").agg(F.min("line_no"), F.max("line_no"), F.countDistinct("line_no"))
+    assert {tuple(r)[1:] for r in numbers.collect()} == {(0, 300_000, 300_001)}
+
+
+def test_small_members_share_a_task(spark, folder):
+    make_zip(f"{folder}/small.zip", [(f"m{i}.csv", "a\nb\n") for i in range(40)])
+    lines = sources.read_zipped_lines(spark, folder)
+    assert lines.count() == 80 and len(task_members(spark, lines)) < 20
+    assert len(task_members(spark, sources.read_zipped_lines(spark, folder, task_bytes=1))) == 40
+
+
+def test_archive_of_more_than_two_gb_lands(spark, folder):
+    # bytes before the first member belong to no member; a hole in the file stands for them
+    data = io.BytesIO()
+    make_zip(data, [("a.csv", "id,term\n1,far\n"), ("b.csv", "id,term\n2,away\n")])
+    with open(f"{folder}/large.zip", "wb") as f:
+        f.seek(3 << 30)
+        f.write(data.getvalue())
+    assert os.path.getsize(f"{folder}/large.zip") > 3 << 30
+    df = sources.read_zipped_csv(spark, folder, StructType.fromDDL("id int, term string"))
+    assert rows_of(df.select("id", "term", "_corrupt_record")) == [(1, "far", None), (2, "away", None)]
+
+
+def test_members_packed_in_other_ways(spark, folder):
+    for name, method in (("s", zipfile.ZIP_STORED), ("b", zipfile.ZIP_BZIP2), ("l", zipfile.ZIP_LZMA)):
+        with zipfile.ZipFile(f"{folder}/{name}.zip", "w", method) as z:
+            z.writestr(f"{name}.csv", "one\r\ntwo\r\n\r\nlast")
+    with zipfile.ZipFile(f"{folder}/locked.zip", "w") as z:
+        z.writestr("secret.csv", "x")
+    raw = bytearray(open(f"{folder}/locked.zip", "rb").read())
+    raw[raw.index(b"PK\x01\x02") + 8] |= 1
+    open(f"{folder}/locked.zip", "wb").write(raw)
+    lines = sources.read_zipped_lines(spark, folder)
+    for name in "sbl":
+        got = lines.where(F.col("member") == f"{name}.csv").orderBy("line_no").select("line").collect()
+        assert [r.line for r in got] == ["one", "two", "", "last"]
+    assert lines.where("error like '%encrypted%'").select("member").first().member == "secret.csv"
+
+
+def test_lines_longer_than_a_chunk(spark, folder):
+    long_line = "x" * 3_500_000
+    make_zip(f"{folder}/wide.zip", [("w.csv", f"{long_line}\nshort\n{long_line}")])
+    got = sources.read_zipped_lines(spark, folder).orderBy("line_no").select("line_no", F.length("line")).collect()
+    assert [tuple(r) for r in got] == [(0, 3_500_000), (1, 5), (2, 3_500_000)]
+
+
+def test_one_archive_by_its_name_and_a_missing_folder(spark, archives):
+    assert sources.read_zipped_lines(spark, f"file:{archives}/one.zip").count() == 3
+    with pytest.raises(Exception, match="nowhere"):
+        sources.read_zipped_lines(spark, f"{archives}/nowhere").count()
