@@ -6,6 +6,7 @@ from them under a new folder inside ``spark.checkpoint.dir`` and read it back.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -18,14 +19,17 @@ from pyspark.sql import functions as F
 
 from loanloom import sources
 from loanloom.functions import binary_label, hash_bucket, parse_failed, split_item, unit_value
-from loanloom.operators import aggregates, evaluation, features, inspection, models
+from loanloom.operators import aggregates, evaluation, features, inspection, models, stratified, tree_rules
 from loanloom.operators.cleaning import parse_units
 from loanloom.operators.filters import where_equal, where_not_equal
+from loanloom.operators.flow_stages import raw_flow
 from loanloom.plans import loans as plan
 from loanloom.plans.fixture import loans, pack_csv_archives, table
 from loanloom.plans.statements import register, run_sql
 from loanloom.session import materialize, scratch_dir
+from loanloom.sources.inference import inferred_types as infer_types
 from loanloom.streaming.arrivals import append_to_table, csv_arrivals
+from loanloom.streaming.counts import current_counts, keep_counts
 from oracles import ORACLES
 
 KEY = ("loan_id",)
@@ -396,6 +400,91 @@ def stream_etl(spark, sf):
     return sources.read_table(spark, target)
 
 
+def manifest_delta(spark, sf):
+    # orders arrive by status in three rounds; a landing reads what is new and nothing else
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    folder, landed = scratch_dir(spark, "arrived"), scratch_dir(spark, "landed")
+
+    def read(paths):
+        return spark.read.schema(orders.schema).option("header", True).csv(paths)
+
+    for status in "FOP":
+        sources.write_csv(orders.where(F.col("o_orderstatus") == status), f"{folder}/{status}")
+        sources.land_new(spark, folder, landed, read, glob="*.csv")
+    sources.land_new(spark, folder, landed, read, glob="*.csv")
+    return sources.landed_rows(spark, landed).select("o_orderkey", "o_orderstatus", "landing")
+
+
+def insert_overwrite_partition(spark, sf):
+    path, schema = partitioned_folder(spark, sf)
+    small = cleaned(spark, sf).where("addr_state in ('NATION_3', 'NATION_7') and loan_amnt < 10000")
+    sources.replace_partitions(
+        small, path, [plan.STATE], "addr_state in ('NATION_3', 'NATION_7', 'NATION_11')"
+    )
+    return sources.read_table(spark, path, schema=schema)
+
+
+def enforced_quarantine(spark, sf):
+    rows = cleaned(spark, sf)
+    schema = spark.createDataFrame([], rows.schema).schema
+    for field in schema:
+        field.nullable = field.name not in ("loan_id", "dti", "newTerm")
+    path, aside = scratch_dir(spark, "enforced"), scratch_dir(spark, "quarantine")
+    sources.write_or_quarantine(rows, path, aside, schema, {"amount above 30000": "loan_amnt <= 30000"})
+    good = sources.read_table(spark, path).select("loan_id", "loan_amnt", "dti", F.lit("none").alias("violation"))
+    bad = sources.read_quarantine(spark, aside, schema).select("loan_id", "loan_amnt", "dti", "violation")
+    return good.unionByName(bad)
+
+
+def clustered_roundtrip(spark, sf):
+    path = scratch_dir(spark, "clustered")
+    sources.write_clustered(cleaned(spark, sf), path, [plan.STATE, "loan_amnt"], parts=16)
+    return sources.read_table(spark, path)
+
+
+def bucketed_loans(spark, sf, buckets=8):
+    place = scratch_dir(spark, "database")
+    rows = loans(spark, sf).select("loan_id", "addr_state")
+    payments = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("loan_id"), "l_quantity")
+    return [
+        sources.create_bucketed_table(df, "loanloom_queries", name, ["loan_id"], buckets, ["loan_id"], location=place)
+        for df, name in ((rows, "bucketed_loans"), (payments, "bucketed_payments"))
+    ]
+
+
+def bucketed_join(spark, sf):
+    rows, payments = bucketed_loans(spark, sf)
+    # small tables would be broadcast; the layout is for those that are not
+    return rows.join(payments.hint("merge"), "loan_id").groupBy("loan_id").agg(
+        F.max("addr_state").alias("addr_state"), F.count(F.lit(1)).alias("payments"),
+        F.sum(F.col("l_quantity").cast("long")).alias("quantity"),
+    )
+
+
+def inferred_types(spark, sf):
+    texts = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_no"),
+        F.when(F.col("o_orderkey") % 1000 == 0, "unknown").otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+        "o_orderstatus",
+        F.col("o_orderdate").cast("date").cast("string").alias("ordered"),
+        F.when(F.col("o_orderkey") % 7 == 0, " ").otherwise((F.col("o_totalprice") > 100000).cast("string")).alias("large"),
+    )
+    return infer_types(texts)
+
+
+def stream_state_counts(spark, sf):
+    folder = csv_folder(spark, sf)
+    state = scratch_dir(spark, "counts")
+    for _ in range(2):  # the second run has forgotten its progress and repeats every batch
+        arrivals = csv_arrivals(spark, folder, loans(spark, sf).schema, max_files=1)
+        query = keep_counts(
+            arrivals, lambda rows: plan.with_collections(plan.clean(rows)), [plan.STATE], state,
+            scratch_dir(spark, "progress"), compact_after=3,
+        )
+        query.awaitTermination()
+    return current_counts(spark, state, [plan.STATE])
+
+
 # --- labels, weights, split -------------------------------------------------------------
 
 
@@ -456,6 +545,18 @@ def random_split_whole(spark, sf):
     return random_split(spark, sf).select("loan_id")
 
 
+def stratified_counts(spark, sf):
+    parts = stratified.stratified_split(feature_rows(spark, sf), "label", 0.7, plan.SPLIT_SEED)
+    named = [p.select("label", F.lit(n).alias("part")) for p, n in zip(parts, ("train", "test"))]
+    return named[0].unionByName(named[1]).groupBy("label", "part").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def stratified_whole(spark, sf):
+    # the parts are random, their union is not: every row once
+    train, test = stratified.stratified_split(feature_rows(spark, sf), "label", 0.7, plan.SPLIT_SEED)
+    return train.unionByName(test)
+
+
 # --- evaluation of given predictions ----------------------------------------------------
 
 
@@ -563,6 +664,21 @@ def dt_reload_agreement(spark, sf):
     )
 
 
+def dt_expression_agreement(spark, sf):
+    rows = stored_features(spark, sf)
+    model, scored = plan.fit_tree(rows)
+    path = scratch_dir(spark, "model")
+    models.save_model(model, path)
+    _, test = plan.train_test(rows)
+    ruled = tree_rules.score_by_rules(test, path, plan.FEATURES).select(
+        "loan_id", F.col("score").alias("ruled_score"), F.col("prediction").alias("ruled_prediction")
+    )
+    same = (F.col("score") == F.col("ruled_score")) & (F.col("prediction") == F.col("ruled_prediction"))
+    return plan.scored(scored).join(ruled, "loan_id").agg(
+        F.count(F.lit(1)).alias("scored_rows"), F.count_if(same).alias("equal_rows")
+    )
+
+
 def dt_group_scores(spark, sf):
     # one yes/no feature: the tree's probabilities are the class shares of the two groups
     rows = loans(spark, sf).select(
@@ -626,6 +742,45 @@ def ml_flow(spark, sf):
     return plan.scored(model.transform(test))
 
 
+def flow_reload_agreement(spark, sf):
+    # from raw texts to scores, saved, loaded, and applied to rows without the label's source
+    train, test = plan.train_test(materialize(loans(spark, sf), "raw"))
+    flow = raw_flow(plan.UNIT_RULES, plan.COLLECTIONS, plan.FEATURES, models.logistic_regression())
+    model = flow.fit(train)
+    path = scratch_dir(spark, "flow")
+    models.save_model(model, path)
+    before = score_columns(model.transform(test), "before")
+    after = score_columns(models.load_model("flow", path).transform(test.drop(plan.COLLECTIONS)), "after")
+    same = F.col("score_before") == F.col("score_after")
+    return before.join(after, "loan_id").agg(
+        F.count(F.lit(1)).alias("scored_rows"), F.count_if(same).alias("equal_rows")
+    )
+
+
+def score_columns(predictions, when):
+    return evaluation.score_rows(predictions, "loan_id").select("loan_id", F.col("score").alias(f"score_{when}"))
+
+
+def lr_prediction_rows(spark, sf):
+    # every test row is predicted once, by its score
+    return lr_predictions(spark, sf).select(
+        "loan_id", "label", ((F.col("score") > 0.5).cast("int") == F.col("prediction")).alias("by_score")
+    )
+
+
+def lr_enet_conditions(spark, sf):
+    # at the optimum the gradient of each scaled coefficient is balanced by its penalties
+    reg, mix = 0.01, 0.8
+    model, train, _ = plan.fit_logistic(
+        stored_features(spark, sf), maxIter=200, tol=1e-10, regParam=reg, elasticNetParam=mix
+    )
+    holds = models.optimality(model, train, reg, mix)
+    return holds.select(
+        F.array(*map(F.lit, plan.FEATURES))[F.col("feature")].alias("feature_name"),
+        (F.col("gap") < 1e-4).alias("holds"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loans_by_state": loans_by_state,
     "loan_fixture": loans,
@@ -675,6 +830,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "required_nulls": required_nulls,
     "manifest": manifest,
     "zip_landing": zip_landing,
+    "manifest_delta": manifest_delta,
+    "insert_overwrite_partition": insert_overwrite_partition,
+    "enforced_quarantine": enforced_quarantine,
+    "clustered_roundtrip": clustered_roundtrip,
+    "bucketed_join": bucketed_join,
+    "inferred_types": inferred_types,
+    "stream_state_counts": stream_state_counts,
     "stream_etl": stream_etl,
     "binary_labels": binary_labels,
     "feature_rows": feature_rows,
@@ -688,6 +850,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_split": hash_split,
     "random_split": random_split,
     "random_split_whole": random_split_whole,
+    "stratified_counts": stratified_counts,
+    "stratified_whole": stratified_whole,
     "auroc_exact": auroc_exact,
     "confusion_counts": confusion_counts,
     "precision_by_label": precision_by_label,
@@ -700,6 +864,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dt_predictions": dt_predictions,
     "dt_reloaded": dt_reloaded,
     "dt_reload_agreement": dt_reload_agreement,
+    "dt_expression_agreement": dt_expression_agreement,
     "dt_group_scores": dt_group_scores,
     "lr_predictions": lr_predictions,
     "lr_enet": lr_enet,
@@ -708,16 +873,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lr_auroc": lr_auroc,
     "lr_group_scores": lr_group_scores,
     "ml_flow": ml_flow,
+    "flow_reload_agreement": flow_reload_agreement,
+    "lr_prediction_rows": lr_prediction_rows,
+    "lr_enet_conditions": lr_enet_conditions,
 }
 
 
-try:  # the training-data operators and their pipeline can be left out
+LLM_QUERIES, LLM_ORACLES = {}, {}
+if importlib.util.find_spec("loanloom.llm"):  # the training-data operators can be left out
     import corpus_pipeline
     from loanloom.llm.queries import ORACLES as LLM_ORACLES
     from loanloom.llm.queries import QUERIES as LLM_QUERIES
-except ImportError:
-    LLM_QUERIES, LLM_ORACLES = {}, {}
-else:
+
     LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
     if corpus_pipeline.ORACLE_SQL:
         LLM_ORACLES = LLM_ORACLES | {"pipeline": corpus_pipeline.ORACLE_SQL}

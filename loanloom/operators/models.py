@@ -13,6 +13,7 @@ from pyspark.ml.classification import (
     LogisticRegressionModel,
 )
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +73,50 @@ def fit(estimator: Estimator, df: DataFrame, label: str = "label", persist: bool
             df.unpersist()
 
 
+def optimality(
+    model: LogisticRegressionModel,
+    df: DataFrame,
+    reg: float,
+    mix: float,
+    label: str = "label",
+    features: str = "features",
+    weight: str = "classWeight",
+) -> DataFrame:
+    """How far each coefficient is from satisfying the conditions of the optimum, one row per feature.
+
+    With coefficients scaled by the features' standard deviations, the weighted mean gradient of the
+    loss plus ``reg * (1 - mix)`` times the coefficient must be ``reg * mix`` against the coefficient's
+    sign, or at most that where the coefficient is 0. ``gap`` is what is missing; ``coefficient`` is the scaled
+    one. One aggregate over the rows, whose result has a number per feature.
+    """
+    size = model.numFeatures
+    x, w = vector_to_array(features), F.col(weight).cast("double")
+    flat = model.transform(df).select(
+        w.alias("w"), x.alias("x"), (vector_to_array("probability")[1] - F.col(label)).alias("e")
+    )
+    values = [F.col("x")[j] for j in range(size)]
+    total = F.sum("w")
+    sums = flat.agg(
+        total.alias("n"),
+        F.array(*[F.sum(F.col("w") * F.col("e") * v) / total for v in values]).alias("gradient"),
+        F.array(*[F.sum(F.col("w") * v) / total for v in values]).alias("mean"),
+        F.array(*[F.sum(F.col("w") * v * v) / total for v in values]).alias("square"),
+        F.sum(F.col("w") * F.col("w")).alias("n2"),
+    ).first()
+    rows = []
+    for j, coefficient in enumerate(model.coefficients.toArray().tolist()):
+        variance = (sums.square[j] - sums.mean[j] ** 2) * sums.n / (sums.n - sums.n2 / sums.n)
+        deviation = max(variance, 0.0) ** 0.5
+        scaled = coefficient * deviation
+        slope = (sums.gradient[j] / deviation if deviation else 0.0) + reg * (1 - mix) * scaled
+        if scaled:
+            gap = abs(slope + reg * mix * (1 if scaled > 0 else -1))
+        else:
+            gap = max(0.0, abs(slope) - reg * mix)
+        rows.append((j, scaled, gap))
+    return df.sparkSession.createDataFrame(rows, "feature int, coefficient double, gap double")
+
+
 def flow(features: Sequence[str], estimator: Estimator, output: str = "features") -> Pipeline:
     """Assembly and training as one unit that is saved, loaded and applied together."""
     assembler = VectorAssembler(inputCols=list(features), outputCol=output)

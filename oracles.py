@@ -200,6 +200,42 @@ ORACLES = {
     "required_nulls": f"{CLEAN} {nulls(['loan_id', 'newTerm', 'dti'], 'clean')}",
     "zip_landing": f"select *, cast(null as varchar) as _corrupt_record from ({LOANS})",
     "stream_etl": f"{CLEAN} select * from clean",
+    "manifest_delta": """
+        select o_orderkey, o_orderstatus,
+               cast(case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end as bigint) as landing
+        from orders""",
+    "insert_overwrite_partition": f"""{CLEAN}
+        select * from clean
+        where addr_state not in ('NATION_3', 'NATION_7', 'NATION_11')
+           or (addr_state <> 'NATION_11' and loan_amnt < 10000)""",
+    "enforced_quarantine": f"""{CLEAN}
+        select loan_id, loan_amnt, dti,
+               coalesce(nullif(concat_ws('; ', case when dti is null then 'dti is null' end,
+                                         case when newTerm is null then 'newTerm is null' end,
+                                         case when loan_amnt > 30000 then 'amount above 30000' end), ''),
+                        'none') as violation
+        from clean""",
+    "clustered_roundtrip": f"{CLEAN} select * from clean",
+    "bucketed_join": f"""
+        select loan_id, max(addr_state) as addr_state, count(*) as payments,
+               cast(sum(cast(l_quantity as bigint)) as bigint) as quantity
+        from ({LOANS}) join lineitem on l_orderkey = loan_id group by loan_id""",
+    "inferred_types": """
+        select 'order_no' as column_name, 'int' as inferred, 'int' as likely, count(*) as values,
+               0::bigint as misfits, null::varchar as first_misfit from orders
+        union all
+        select 'price', case when count(*) filter (o_orderkey % 1000 = 0) > 0 then 'string' else 'double' end,
+               'double', count(*), count(*) filter (o_orderkey % 1000 = 0),
+               max('unknown') filter (o_orderkey % 1000 = 0) from orders
+        union all
+        select 'o_orderstatus', 'string', 'string', count(*), 0, null from orders
+        union all
+        select 'ordered', 'date', 'date', count(*), 0, null from orders
+        union all
+        select 'large', 'boolean', 'boolean', count(*) filter (o_orderkey % 7 <> 0), 0, null from orders""",
+    "stream_state_counts": f"""{CLEAN}
+        select addr_state, cast(count(*) as bigint) as count from clean
+        where collections_12_mths_ex_med <> 0 group by addr_state""",
     # labels, weights, split
     "binary_labels": f"{FEATURES} select loan_id, label from labelled",
     "feature_rows": f"{FEATURES} select * from features",
@@ -222,6 +258,14 @@ ORACLES = {
                case when {BUCKET} < 7000 then 'train' else 'test' end as part
         from features""",
     "random_split_whole": f"{FEATURES} select loan_id from features",
+    "stratified_whole": f"{FEATURES} select * from features",
+    "stratified_counts": f"""{FEATURES},
+        sizes as (select label, count(*) as n from features group by label),
+        parts as (
+          select label, 'train' as part, n * 7 // 10 as rows from sizes
+          union all select label, 'test', n - n * 7 // 10 from sizes
+        )
+        select label, part, cast(rows as bigint) as rows from parts where rows > 0""",
     # evaluation of given predictions
     "auroc_exact": f"""{RULE},
         per_score as (
@@ -277,6 +321,9 @@ ORACLES = {
     "dt_reload_agreement": f"""{FEATURES}
         select count(*) as scored_rows, count(*) as equal_rows from features
         where not ({BUCKET} < 7000)""",
+    "dt_expression_agreement": f"""{FEATURES}
+        select count(*) as scored_rows, count(*) as equal_rows from features
+        where not ({BUCKET} < 7000)""",
     # A group whose majority class is that of the other group too gets the overall share:
     # the tree joins leaves that predict the same class.
     "dt_group_scores": f"""
@@ -295,6 +342,16 @@ ORACLES = {
         select high_income, round(score, 6) as score,
                case when score > 0.5 then 1 else 0 end as prediction
         from joined""",
+    "flow_reload_agreement": f"""{FEATURES}
+        select count(*) as scored_rows, count(*) as equal_rows from features
+        where not ({BUCKET} < 7000)""",
+    "lr_prediction_rows": f"""{FEATURES}
+        select loan_id, label, true as by_score from features where not ({BUCKET} < 7000)""",
+    "lr_enet_conditions": """
+        select unnest(['loan_amnt', 'installment', 'annual_inc', 'dti', 'revol_bal', 'out_prncp',
+                       'total_pymnt', 'total_rec_prncp', 'total_rec_int', 'intRate', 'revolUtil'])
+                 as feature_name,
+               true as holds""",
     "lr_group_scores": f"""
         with rows_ as (select quality, toxic as label from labels),
         weighted as (select quality, label, {weight('rows_')} as weight from rows_)

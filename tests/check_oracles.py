@@ -21,7 +21,7 @@ def open_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 TYPES = {
-    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
 }
 
 
