@@ -694,32 +694,35 @@ def dt_group_scores(spark, sf):
 
 
 def lr_predictions(spark, sf):
-    model, _, test = plan.fit_logistic(stored_features(spark, sf))
+    model, _, test = plan.fit_logistic(feature_rows(spark, sf))
     return plan.scored(model.evaluate(test).predictions)
 
 
 def lr_enet(spark, sf):
     model, _, test = plan.fit_logistic(
-        stored_features(spark, sf), maxIter=10, regParam=0.3, elasticNetParam=0.8
+        feature_rows(spark, sf), maxIter=10, regParam=0.3, elasticNetParam=0.8
     )
     return plan.scored(model.transform(test))
 
 
 def lr_precision(spark, sf):
-    model, _, _ = plan.fit_logistic(stored_features(spark, sf))
+    model, _, _ = plan.fit_logistic(feature_rows(spark, sf))
     scored = evaluation.score_rows(model.summary.predictions, "label", "classWeight")
     return evaluation.precision_by_label(scored, weight="classWeight")
 
 
 def lr_evaluate(spark, sf):
-    model, _, test = plan.fit_logistic(stored_features(spark, sf))
+    model, _, test = plan.fit_logistic(feature_rows(spark, sf))
     scored = evaluation.score_rows(model.evaluate(test).predictions, "label", "classWeight")
     return evaluation.roc_curve(scored, weight="classWeight")
 
 
 def lr_auroc(spark, sf):
-    model, _, test = plan.fit_logistic(stored_features(spark, sf))
-    predictions = model.evaluate(test).predictions
+    model, _, test = plan.fit_logistic(feature_rows(spark, sf))
+    # scored once, measured twice
+    predictions = materialize(
+        model.transform(test).select("label", "rawPrediction", "probability", "prediction"), "predictions"
+    )
     exact = evaluation.area_under_roc(evaluation.score_rows(predictions, "label"))
     binned = evaluation.area_under_roc_binned(predictions)
     return exact.withColumn("area_under_roc_binned", F.lit(binned))
@@ -772,7 +775,7 @@ def lr_enet_conditions(spark, sf):
     # at the optimum the gradient of each scaled coefficient is balanced by its penalties
     reg, mix = 0.01, 0.8
     model, train, _ = plan.fit_logistic(
-        stored_features(spark, sf), maxIter=200, tol=1e-10, regParam=reg, elasticNetParam=mix
+        feature_rows(spark, sf), maxIter=200, tol=1e-10, regParam=reg, elasticNetParam=mix
     )
     holds = models.optimality(model, train, reg, mix)
     return holds.select(

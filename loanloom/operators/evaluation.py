@@ -32,16 +32,17 @@ def precision_by_label(
 ) -> DataFrame:
     """Per class the share of the rows predicted as it (or of their weight) that carry its label.
 
-    Every class found in either column has a row; one that is never predicted has 0.0. Each
-    row counts once for its predicted class and marks its label's class, so one aggregate
-    does and nothing is joined. A null class has no row.
+    Every class found in either column has a row; one that is never predicted has 0.0. The rows
+    are counted by label and prediction first; only these few counts are then dealt to the
+    classes, each to its prediction, and to its label's with nothing. A null class has no row.
     """
     mass = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     kind = df.schema[prediction].dataType
-    hit = F.when(F.col(label) == F.col(prediction), mass).otherwise(F.lit(0.0))
-    predicted = F.struct(F.col(prediction).alias("c"), hit.alias("hit"), mass.alias("mass"))
-    labelled = F.struct(F.col(label).cast(kind).alias("c"), F.lit(0.0).alias("hit"), F.lit(0.0).alias("mass"))
-    classes = df.select(F.explode(F.array(predicted, labelled)).alias("x")).select("x.*")
+    counts = df.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.sum(mass).alias("mass"))
+    hit = F.when(F.col("l") == F.col("p"), F.col("mass")).otherwise(F.lit(0.0))
+    predicted = F.struct(F.col("p").alias("c"), hit.alias("hit"), F.col("mass").alias("mass"))
+    labelled = F.struct(F.col("l").cast(kind).alias("c"), F.lit(0.0).alias("hit"), F.lit(0.0).alias("mass"))
+    classes = counts.select(F.explode(F.array(predicted, labelled)).alias("x")).select("x.*")
     return classes.where("c is not null").groupBy(F.col("c").alias(prediction)).agg(
         F.coalesce(F.try_divide(F.sum("hit"), F.sum("mass")), F.lit(0.0)).alias("precision")
     )

@@ -12,6 +12,7 @@ from loanloom.operators.features import assemble, feature_rows, key_split, weigh
 from loanloom.operators.filters import where_not_equal
 from loanloom.operators.models import decision_tree, fit, logistic_regression
 from loanloom.plans.statements import run_sql
+from loanloom.session import materialize
 
 # Column names, separators, seeds and fractions of the loan data set.
 WORKING_COLUMNS = [
@@ -143,8 +144,11 @@ def fit_tree(rows: DataFrame, **params) -> tuple[Model, DataFrame]:
 
 
 def weighted_parts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Assembled training and test part with class weights from all rows."""
-    return _assembled_parts(weigh_classes(rows), "classWeight")
+    """Assembled training and test part with class weights from all rows.
+
+    The weighted rows are stored: the ratio is computed once, not by every job that reads a part.
+    """
+    return _assembled_parts(materialize(weigh_classes(rows), "weighted"), "classWeight")
 
 
 def fit_logistic(rows: DataFrame, **params) -> tuple[Model, DataFrame, DataFrame]:
