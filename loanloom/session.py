@@ -37,4 +37,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
+    release_shuffles(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let executors delete the shuffle files of plans that have been written.
+
+    Spark deletes them when the driver's collector finds that nothing refers to the plan any
+    more, by default once in half an hour; a job of many steps would keep them all until then.
+    """
+    spark._jvm.System.gc()
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table that :func:`materialize` returned, when it is not needed any more."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    for folder in folders:
+        if folder.split(":", 1)[-1].lstrip("/").startswith(base.split(":", 1)[-1].strip("/")):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
