@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loanloom.llm import exact, minhash, packing, quality, secrets
-from loanloom.session import materialize
+from loanloom.session import discard, materialize
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 2048
@@ -55,8 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``; each result is a table the next one reads."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in order over ``documents``; each result is a table the next one reads.
+
+    A stage's table is deleted when the next one's has been written.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

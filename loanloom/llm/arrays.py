@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -148,14 +149,23 @@ def distinct_spans(
     return spans.indices.to_numpy(zero_copy_only=False).astype(np.int64), spans.dictionary
 
 
+def digests(number: np.ndarray, distinct: pa.LargeBinaryArray) -> np.ndarray:
+    """A 64-bit digest of each span's bytes, from :func:`distinct_spans`."""
+    raw = b"".join(blake2b(s, digest_size=8).digest() for s in distinct.to_pylist())
+    return np.frombuffer(raw, U64)[number]
+
+
 def shingles(texts: pa.Array, width: int) -> list[np.ndarray]:
     """Sorted distinct hashes of ``width``-word shingles of every text, A-Z as a-z.
 
-    A text of fewer words gives one shingle of all its words; without words, none.
+    A text of fewer words gives one shingle of all its words; without words, none. Words
+    are told apart by their bytes and hashed by a digest, so unlike words, however long,
+    do not meet by construction.
     """
     data, at = flat(texts)
+    data = LOWER[data]
     start, end, owner = words(data, at)
-    word = span_hash(prefix_hash(data, fold_case=True), start, end)
+    word = digests(*distinct_spans(data, start, end))
     bounds = np.searchsorted(owner, np.arange(len(at)))
     joined = word.copy()
     for k in range(1, width):

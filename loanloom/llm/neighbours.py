@@ -115,7 +115,7 @@ def _probe(batches, plan):
             )
 
 
-def _rerank(key, entries: pa.Table, queries: pa.Table, width, k):
+def _rerank(key, entries: pa.Table, queries: pa.Table, width, k, by_row=False):
     none = pa.table({"query": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
     if not entries.num_rows or not queries.num_rows:
         return none
@@ -132,10 +132,22 @@ def _rerank(key, entries: pa.Table, queries: pa.Table, width, k):
     allowed[row[known], place[known]] = True
     out_q, out_id, out_s = [], [], []
     query, own = queries["query"].to_numpy(), queries["own"].to_numpy()
+    with np.errstate(over="ignore"):
+        longest = np.linalg.norm(e, axis=1).max()
     for first in range(0, len(q), 256):
         block = slice(first, first + 256)
         rough = q[block] @ e.T
-        open_ = allowed[block][:, cell] & (own[block][:, None] != ids[None, :])
+        open_ = allowed[block][:, cell]
+        same = own[block][:, None] == ids[None, :]
+        if by_row:
+            # one row of the query's id and vector is its own; equal ones share a cell and a shard
+            mine, taken = np.zeros_like(same), set()
+            for i, j in zip(*np.nonzero(same)):
+                if i not in taken and (e[j] == q[first + i]).all():
+                    mine[i, j] = True
+                    taken.add(i)
+            same = mine
+        open_ &= ~same
         rough[~open_] = -np.inf
         for i in range(len(rough)):
             line = rough[i]
@@ -144,7 +156,10 @@ def _rerank(key, entries: pa.Table, queries: pa.Table, width, k):
                 continue
             # all that rounding could put among the k best, then the exact order
             least = np.partition(line, len(line) - k)[len(line) - k] if n > k else -np.inf
-            near = np.flatnonzero(open_[i] & (line >= least - 1e-9 * (1 + abs(least)) if n > k else open_[i]))
+            with np.errstate(over="ignore", invalid="ignore"):
+                slack = 1e-15 * width * np.linalg.norm(q[first + i]) * longest
+                close = ~(line < least - slack)  # also where a sum is too large to tell
+            near = np.flatnonzero(open_[i] & close if n > k else open_[i])
             exact = (e[near] * q[first + i]).sum(1)
             order = np.lexsort((ids[near], -exact))[:k]
             out_q.append(np.full(len(order), query[first + i]))
@@ -174,11 +189,13 @@ def search(
     sample_rows: int = 20_000,
     shard_rows: int = 8192,
     query_block: int = 1024,
+    by_row: bool = False,
 ) -> DataFrame:
     """``k`` nearest ``vectors`` of each of ``queries`` by inner product, in double precision.
 
     Returns ``query_id``, ``rank`` (from 1), the id and ``score``. Ties go to the smaller
-    id; a query is not its own neighbour. Both tables have the same columns.
+    id; a query is not its own neighbour: rows of its id are left out, or, ``by_row``, only one row of
+    its id and vector. Both tables have the same columns.
 
     Each half of a vector is quantised by its own ``cells_per_half`` centroids, fitted on
     the ``sample_rows`` vectors with the smallest id hashes; every vector is indexed. A
@@ -253,7 +270,7 @@ def search(
         sharded.groupBy("shard", "block")
         .cogroup(probes.groupBy("shard", "block"))
         .applyInArrow(
-            lambda key, left, right: _rerank(key, left, right, width, k), "query long, id long, score double"
+            lambda key, left, right: _rerank(key, left, right, width, k, by_row), "query long, id long, score double"
         )
     )
     order = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))

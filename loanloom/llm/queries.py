@@ -33,7 +33,7 @@ def documents(spark, sf_dir):
 
 def op1_inverted_multi_index(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    return neighbours.search(vectors, vectors.where("vec_id % 20 = 0"))
+    return neighbours.search(vectors, vectors.where("vec_id % 20 = 0"), by_row=True)
 
 
 def op2_naive_bayes_languages(spark, sf_dir):
@@ -63,7 +63,7 @@ def op6_fuzzy_lines(spark, sf_dir):
 
 def op7_sentencepiece_offsets(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return wordpieces.encode(documents(spark, sf_dir), model, with_pieces=False)
+    return wordpieces.encode(documents(spark, sf_dir), model, with_pieces=False, with_spans=True)
 
 
 def op8_exact_tree_merge(spark, sf_dir):

@@ -9,6 +9,7 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loanloom.llm import arrays
 from loanloom.session import materialize
@@ -42,9 +43,13 @@ def find(text: str) -> list[tuple[int, str, int, str]]:
     if "AKIA" in text:
         out += [(m.start(), "access", m.end(), m[0]) for m in ACCESS.finditer(text)]
     out += [(m.start(), "hex", m.end(), m[0]) for m in HEX.finditer(text)]
-    taken = sorted((a, b) for a, _, b, _ in out)
+    taken, at, reach = sorted((a, b) for a, _, b, _ in out), 0, 0
     for m in BARE.finditer(text):
-        if all(p.search(m[0]) for p in MIXED) and not any(a < m.end() and m.start() < b for a, b in taken):
+        # both go by their begin: whatever begins before this one's end and reaches into it overlaps
+        while at < len(taken) and taken[at][0] < m.end():
+            reach = max(reach, taken[at][1])
+            at += 1
+        if reach <= m.start() and all(p.search(m[0]) for p in MIXED):
             out.append((m.start(), "bare", m.end(), m[0]))
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[1])))
 
@@ -147,6 +152,17 @@ def scan(
     )
 
 
+def _mark(batches, text):
+    for batch in arrays.pieces(batches, text):
+        column = batch.column(batch.schema.get_field_index(text))
+        found = [bool(t) and bool(find(t)) for t in column.to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.bool_())], [*batch.schema.names, MARK])
+
+
+#: Whether a text has any candidate, in the stored rows of :func:`redact`.
+MARK = "__candidates"
+
+
 def _redact(batches, at, mark):
     for batch in batches:
         out = []
@@ -177,7 +193,8 @@ def redact(
     """``docs`` with every live-looking secret replaced by ``mark``; examples stay.
 
     No document goes. ``length_column``, where the table has it, is brought up to date on
-    changed rows. The rows are stored once with a number each. See :func:`scan`.
+    changed rows. The rows are stored once, with a number each and whether they hold any candidate;
+    those without pass through, only the others are joined with what was found. See :func:`scan`.
     """
     names = docs.columns
     number, spans = "__row", "__live"
@@ -185,17 +202,21 @@ def redact(
         number += "_"
     while spans in names:
         spans += "_"
-    stored = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    found = scan(stored, id_column, text_column, owner_column, row_column=number, **limits)
+    if MARK in names:
+        raise ValueError(f"a column named {MARK} is needed")
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    marked = StructType([*numbered.schema.fields]).add(MARK, "boolean")
+    stored = materialize(numbered.mapInArrow(partial(_mark, text=text_column), marked), "numbered")
+    able = stored.where(F.col(MARK)).drop(MARK)
+    found = scan(able, id_column, text_column, owner_column, row_column=number, **limits)
     live = found.where("n_live > 0").select(
         F.col("row").alias(number),
         F.expr("transform(filter(found, s -> s.live), s -> struct(s.start as start, s.end as end))").alias(spans),
     )
-    joined = stored.join(live, number, "left").drop(number)
-    dirty = joined.where(F.col(spans).isNotNull())
     schema = docs.schema
-    cleaned = dirty.mapInArrow(partial(_redact, at=names.index(text_column), mark=mark), schema)
+    joined = able.join(live, number, "left").select(*names, spans)
+    cleaned = joined.mapInArrow(partial(_redact, at=names.index(text_column), mark=mark), schema)
     if length_column in names:
         size = F.char_length(text_column).cast(schema[length_column].dataType)
-        cleaned = cleaned.withColumn(length_column, size)
-    return joined.where(F.col(spans).isNull()).drop(spans).unionByName(cleaned)
+        cleaned = cleaned.withColumn(length_column, F.coalesce(size, length_column))
+    return stored.where(~F.col(MARK)).select(*names).unionByName(cleaned)

@@ -17,47 +17,46 @@ from loanloom.llm import arrays
 class SegmentEncoder:
     """Encodes segments through ``encode(list of str) -> list of id lists``, each once.
 
-    Holds at most ``limit`` segments; when full it starts anew, which changes no result.
+    Segments are told apart by their bytes. Holds at most ``limit`` of them and ``limit_bytes`` of
+    their text; when full it starts anew, which changes no result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], limit: int = 1_000_000):
-        self.encode, self.limit = encode, limit
+    def __init__(
+        self, encode: Callable[[list[str]], Sequence[Sequence[int]]], limit: int = 1_000_000,
+        limit_bytes: int = 32 << 20,
+    ):
+        self.encode, self.limit, self.limit_bytes = encode, limit, limit_bytes
         self._clear()
 
     def _clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)
+        self.slots: dict[bytes, int] = {}
+        self.size = 0
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
-    def _learn(self, data: np.ndarray, key: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        raw = data.tobytes()
-        texts = [raw[a:b].decode("utf-8") for a, b in zip(start.tolist(), end.tolist())]
-        found = self.encode(texts)
+    def _learn(self, segments: list[bytes]) -> None:
+        found = self.encode([s.decode("utf-8") for s in segments])
         count = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter((i for f in found for i in f), np.int32, int(count.sum()))
-        place = np.searchsorted(self.known, key)
-        first = len(self.ids) + np.cumsum(count) - count
-        self.known = np.insert(self.known, place, key)
-        self.first = np.insert(self.first, place, first)
-        self.count = np.insert(self.count, place, count)
+        self.slots.update(zip(segments, range(len(self.slots), len(self.slots) + len(segments))))
+        self.size += sum(map(len, segments))
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
         self.ids = np.concatenate([self.ids, ids])
 
     def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all segments end to end, and the number of ids of each segment."""
-        key = arrays.span_hash(arrays.prefix_hash(data), start, end)
-        distinct, at, back = np.unique(key, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.known, distinct)
-        fresh = np.ones(len(distinct), bool)
-        inside = place < len(self.known)
-        fresh[inside] = self.known[place[inside]] != distinct[inside]
-        if fresh.any():
-            if len(self.known) + int(fresh.sum()) > self.limit:
+        number, distinct = arrays.distinct_spans(data, start, end)
+        names = distinct.to_pylist()
+        fresh = [n for n in names if n not in self.slots]
+        if fresh:
+            if len(self.slots) + len(fresh) > self.limit or self.size > self.limit_bytes:
                 self._clear()
-                fresh[:] = True
-            self._learn(data, distinct[fresh], start[at[fresh]], end[at[fresh]])
-            place = np.searchsorted(self.known, distinct)
-        count = self.count[place][back]
+                fresh = names
+            self._learn(fresh)
+        slot = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))[number]
+        count = self.count[slot]
         total = np.cumsum(count)
-        source = np.repeat(self.first[place][back] - (total - count), count)
+        source = np.repeat(self.first[slot] - (total - count), count)
         return self.ids[source + np.arange(len(source))], count

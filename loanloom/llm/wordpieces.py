@@ -227,14 +227,16 @@ def _encode(batches, path, with_pieces):
             rows.append((
                 len(got), int((end - begin).sum()), hashlib.sha256(named).hexdigest(),
                 hashlib.sha256(decoded.encode()).hexdigest(),
+                hashlib.sha256(np.stack([begin, end], axis=1).astype("<i8").tobytes()).hexdigest(),
                 *((got, begin, end, decoded) if with_pieces else (None, None, None, None)),
             ))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()),
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.int32()),
                  pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string()]
         columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *columns],
-            ["id", "n_tokens", "bytes_covered", "ids_sha256", "decoded_sha256", "ids", "begins", "ends", "decoded"],
+            ["id", "n_tokens", "bytes_covered", "ids_sha256", "decoded_sha256", "spans_sha256", "ids", "begins", "ends",
+             "decoded"],
         )
 
 
@@ -244,11 +246,13 @@ def encode(
     id_column: str = "doc_id",
     text_column: str = "text",
     with_pieces: bool = True,
+    with_spans: bool = False,
 ) -> DataFrame:
     """Encode whole texts, project every piece onto its source bytes, and decode again.
 
     Returns a row per document: the id, ``n_tokens``, ``bytes_covered`` (source bytes in
-    the pieces' spans), ``ids_sha256``, ``decoded_sha256`` and, if ``with_pieces``,
+    the pieces' spans), ``ids_sha256``, ``decoded_sha256``, ``with_spans`` also ``spans_sha256`` (of the spans' ends, little-endian
+    signed 64-bit numbers, begin and end of each piece in turn) and, if ``with_pieces``,
     ``ids``, ``begins`` and ``ends`` (UTF-8 byte spans of the source) and ``decoded``.
 
     Null or empty text has no pieces. Rows with equal or null ids stay apart. Ids are the
@@ -260,7 +264,9 @@ def encode(
     found = source.mapInArrow(
         partial(_encode, path=model, with_pieces=with_pieces),
         f"id {kind}, n_tokens long, bytes_covered long, ids_sha256 string, decoded_sha256 string, "
+        "spans_sha256 string, "
         "ids array<int>, begins array<long>, ends array<long>, decoded string",
     )
     found = found.withColumnRenamed("id", id_column)
+    found = found if with_spans else found.drop("spans_sha256")
     return found if with_pieces else found.drop("ids", "begins", "ends", "decoded")
