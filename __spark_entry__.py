@@ -883,7 +883,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 LLM_QUERIES, LLM_ORACLES = {}, {}
-if importlib.util.find_spec("loanloom.llm"):  # the training-data operators can be left out
+# the training-data operators can be left out, whole; a fault inside of them is not hidden
+if all(map(importlib.util.find_spec, ("corpus_pipeline", "loanloom.llm"))) and importlib.util.find_spec("loanloom.llm.queries"):
     import corpus_pipeline
     from loanloom.llm.queries import ORACLES as LLM_ORACLES
     from loanloom.llm.queries import QUERIES as LLM_QUERIES
