@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+RELEASE_SECONDS = 20.0
+_released = 0.0
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder under the shared folder named by ``spark.checkpoint.dir``.
 
@@ -46,8 +51,12 @@ def release_shuffles(spark: SparkSession) -> None:
 
     Spark deletes them when the driver's collector finds that nothing refers to the plan any
     more, by default once in half an hour; a job of many steps would keep them all until then.
+    At most once in ``RELEASE_SECONDS``, so that many small steps do not wait for the collector.
     """
-    spark._jvm.System.gc()
+    global _released
+    if time.monotonic() - _released >= RELEASE_SECONDS:
+        spark._jvm.System.gc()
+        _released = time.monotonic()
 
 
 def discard(df: DataFrame) -> None:
