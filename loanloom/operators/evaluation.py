@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from loanloom.session import materialize
 
+#: Accuracy of the sketch per border: a range's share of the scores is off by a tenth at most.
+SKETCH_ACCURACY = 20
+
 
 def score_rows(predictions: DataFrame, *keep: str) -> DataFrame:
     """Flat scored table: ``keep`` columns, probability of class 1, predicted class."""
@@ -58,6 +61,28 @@ def area_under_roc_binned(
     return evaluator.evaluate(predictions)
 
 
+def score_ranges(per_score: DataFrame, scores: DataFrame, parts: int) -> DataFrame:
+    """``per_score`` with ``part``, the number of the score's range; ranges are in score order.
+
+    The ``parts - 1`` borders come from one mergeable quantile sketch over ``scores`` (column
+    ``s``), a scalar subquery that stays inside the plan: a sketch per task, no sampling job and
+    no shuffle by range. A range has at most as many distinct scores as rows, so its share of
+    the rows bounds it. Any sorted borders are right, the sketch only decides how even the
+    ranges are. A score's range is the number of borders below it, found by binary steps.
+    """
+    if parts < 2:
+        return per_score.withColumn("part", F.lit(0))
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    borders = scores.agg(
+        F.sort_array(F.approx_percentile("s", shares, SKETCH_ACCURACY * parts)).alias("b")
+    ).scalar()
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range((parts - 1).bit_length()))])
+    part = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get("__b", at + step - 1) < F.col("s"), at + step).otherwise(at)
+    )
+    return per_score.withColumn("__b", borders).withColumn("part", part).drop("__b")
+
+
 def area_under_roc(
     df: DataFrame,
     score: str = "score",
@@ -69,21 +94,20 @@ def area_under_roc(
 
     It is the share of (positive, negative) pairs ranked the right way, from running
     counts over the sorted scores. Rows collapse to one per distinct score first, so a
-    score shared by many rows is no hot spot. Scores are then cut into contiguous ranges,
-    each summed on its own; only the totals per range (``parts`` rows) meet in one place.
+    score shared by many rows is no hot spot. Scores are then cut into contiguous ranges
+    (:func:`score_ranges`), each summed on its own: the scores are shuffled twice, and only
+    the totals per range (``parts`` rows) meet in one place.
     Rows without score or label cannot be ranked and are left out.
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     one, zero = F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
     per_score = (
-        df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
-        .groupBy(F.col(score).alias("s"))
+        rows.groupBy(F.col(score).alias("s"))
         .agg(one.cast("double").alias("pos"), zero.cast("double").alias("neg"))
     )
-    ranged = per_score.repartitionByRange(parts, "s").withColumn(
-        "part", F.spark_partition_id()
-    )
+    ranged = score_ranges(per_score, rows.select(F.col(score).alias("s")), parts)
     below = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     inside = (
         ranged.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0.0)))
@@ -123,14 +147,13 @@ def roc_curve(
     def of(value):
         return F.sum(F.when(F.col(label) == value, mass).otherwise(F.lit(0.0)))
 
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
     per_score = (
-        df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
-        .groupBy(F.col(score).alias("s"))
+        rows.groupBy(F.col(score).alias("s"))
         .agg(of(1).alias("pos"), of(0).alias("neg"))
     )
-    ranged = materialize(
-        per_score.repartitionByRange(parts, "s").withColumn("part", F.spark_partition_id()), "scores"
-    )
+    stored = materialize(per_score, "scores")
+    ranged = score_ranges(stored, stored, parts)
     above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     totals = ranged.groupBy("part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(

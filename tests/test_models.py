@@ -90,6 +90,20 @@ def test_auroc_leaves_out_rows_without_score_or_label(spark):
     assert auroc(spark, rows) == 1.0
 
 
+def test_score_ranges_follow_the_scores(spark):
+    odd = [float("nan"), float("-inf"), float("inf"), -0.0, 1e308, 5e-324]
+    scores = spark.createDataFrame([(s,) for s in odd + [i / 7 for i in range(500)]], "s double")
+    for parts in (1, 2, 3, 8, 33):
+        found = evaluation.score_ranges(scores, scores, parts).orderBy("s").collect()
+        order = [r.part for r in found]
+        assert len(found) == scores.count() and order == sorted(order) and order[-1] < parts
+        sizes = [order.count(p) for p in range(parts)]
+        assert max(sizes) <= 2 * len(found) / parts
+    alike = scores.select(F.lit(0.5).alias("s"))
+    assert {r.part for r in evaluation.score_ranges(alike, alike, 8).collect()} == {0}
+    assert evaluation.score_ranges(scores.limit(0), scores.limit(0), 8).collect() == []
+
+
 def test_auroc_with_a_hot_score(spark):
     df = spark.range(60_000).select(
         F.when(F.col("id") % 3 > 0, 0.5).otherwise(F.col("id") / 60_000).alias("score"),

@@ -92,8 +92,17 @@ def test_auroc_has_no_join_and_one_scan(cleaned):
     text = plan_of(evaluation.area_under_roc(scores))
     tree = text.split("\n\n")[0]
     assert tree.count("Scan parquet") == 1 and "Join" not in text
-    # scores meet by range; only the totals per range go to a single task
-    assert "rangepartitioning" in text and text.count("Arguments: SinglePartition") <= 2
+    # scores are shuffled once to meet and once to their range, which a sketch has cut; only the
+    # totals per range and the sketches go to a single task
+    assert text.count("Arguments: hashpartitioning") == 2 and "rangepartitioning" not in text
+    assert text.count("Arguments: SinglePartition") == 2
+
+
+def test_auroc_takes_borders_from_sketches_per_task(cleaned):
+    scores = plan.features(cleaned).select(F.col("loan_amnt").cast("double").alias("score"), "label")
+    tree, _, subqueries = plan_of(evaluation.area_under_roc(scores)).partition("===== Subqueries =====")
+    assert "approx_percentile" in subqueries and "hashpartitioning" not in subqueries
+    assert tree.count("Window") and "approx_percentile" not in tree.split("Scan parquet")[0]
 
 
 def test_enforcement_is_in_the_same_scan(cleaned):
