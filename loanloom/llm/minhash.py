@@ -7,7 +7,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm import arrays
@@ -81,8 +81,12 @@ def _sets(batches, text, width):
 
 
 def _pairs(met: DataFrame) -> DataFrame:
+    """Different pairs (a, b) of classes with the components that they are in."""
+    turned = F.col("node") > F.col("pivot")
     return met.select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"),
+        F.when(turned, F.col("home")).otherwise(F.col("component")).alias("ca"),
+        F.when(turned, F.col("component")).otherwise(F.col("home")).alias("cb"),
     ).distinct()
 
 
@@ -95,7 +99,6 @@ def near_duplicates(
     bands: int = 40,
     rows: int = 6,
     pivot_rounds: int = 3,
-    rare_shingle: int = 100,
 ) -> DataFrame:
     """Components of documents whose shingle sets are ``percent`` similar or more.
 
@@ -107,12 +110,13 @@ def near_duplicates(
     2. Each class gets a sketch of ``bands * rows`` coordinates. Classes that share a band
        are candidates: at similarity s a pair is missed with probability
        ``(1 - s**rows)**bands``, 5e-6 at 0.8 and less above.
-    3. In a bucket, each member is verified on full sets against one pivot, and
-       components follow. Members that are still in different components meet another
-       pivot; after ``pivot_rounds`` all pairs left between different components of a
-       bucket are verified, but for those that share no shingle found in at most
-       ``rare_shingle`` open documents and have too few others to be linked. A pair inside one component cannot change the result, so no
+    3. In a bucket, each member is verified on full sets against one pivot; links carry the
+       smaller component's name two steps on. Members that are still in different components
+       meet another pivot. After ``pivot_rounds`` the classes in buckets that still hold
+       several components are joined by the rarest shingles of each, as many as similar sets
+       cannot all differ in. A pair inside one component cannot change the result, so no
        candidate link is lost, and a group of copies costs rows in proportion to its size.
+    4. Union-find over all links gives the components.
 
     Null text is empty: no shingles, no links. A null id links like any other but is never
     the smallest while the component has another; rows of one id share its result when
@@ -158,25 +162,27 @@ def near_duplicates(
         common = F.size(F.array_intersect("x", "y"))
         rows_ = pairs.join(left, "a").join(right, "b").withColumn("common", common)
         union = F.size("x") + F.size("y") - F.col("common")
-        return rows_.where(100 * F.col("common") >= percent * union).select("a", "b")
+        return rows_.where(100 * F.col("common") >= percent * union).select("a", "b", "ca", "cb")
 
-    def settled(links: DataFrame, left: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Components so far, and the entries whose bucket still holds several of them."""
-        found = materialize(connected_components(links), "components")
-        mapped = left.join(found, "node", "left").select(
-            "key", "node", "n", F.coalesce("component", "node").alias("component")
+    def fits(size: str, other: str):
+        # |A & B| >= s |A u B| needs |A & B| >= s (|A| + |B|) / (1 + s)
+        return (100 + percent) * F.least(size, other) >= percent * (F.col("n") + F.col("pivot_n"))
+
+    def merged(left: DataFrame, fresh: DataFrame) -> DataFrame:
+        """The entries under the names that links between components give, two steps along them."""
+        step = fresh.groupBy(F.greatest("ca", "cb").alias("component")).agg(F.min(F.least("ca", "cb")).alias("to"))
+        next_ = step.select(F.col("component").alias("to"), F.col("to").alias("further"))
+        names = step.join(next_, "to", "left").select("component", F.coalesce("further", "to").alias("to"))
+        mapped = left.join(names, "component", "left").select(
+            "key", "node", "n", F.coalesce("to", "component").alias("component")
         )
         several = mapped.groupBy("key").agg(
             F.min("component").alias("c0"), F.max("component").alias("c1")
         ).where("c0 < c1").select("key")
-        return found, materialize(mapped.join(several, "key"), "open")
+        return materialize(mapped.join(several, "key"), "open")
 
-    def fits(size: str, other: str):
-        # |A & B| >= s |A u B| needs |A & B| >= s (|A| + |B|) / (1 + s)
-        return (100 + percent) * F.least(size, other) >= percent * (F.col("n") + F.col("pivot_n"))
-
-    links = spark.createDataFrame([], "a long, b long")
-    checked, found, current = links, None, buckets.withColumn("component", F.col("node"))
+    links = checked = spark.createDataFrame([], "a long, b long")
+    current = buckets.withColumn("component", F.col("node"))
     for turn in range(pivot_rounds):
         order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
         pivots = current.groupBy("key").agg(
@@ -190,46 +196,37 @@ def near_duplicates(
         apart = met.where((F.col("component") != F.col("home")) & fits("n", "pivot_n"))
         pairs = materialize(_pairs(apart).join(checked, ["a", "b"], "left_anti"), "pairs")
         fresh = materialize(linked(pairs), "links")
-        checked, links = checked.union(pairs), links.union(fresh)
-        found, current = settled(links, met.select("key", "node", "n"))
+        checked, links = checked.union(pairs.select("a", "b")), links.union(fresh.select("a", "b"))
+        current = merged(met.select("key", "node", "n", "component"), fresh)
         if current.isEmpty():
             break
     else:
-        # A pair either shares a shingle that few open documents have, and is found by it,
-        # or has only frequent ones in common, and then the bound on sizes counts these alone.
+        # Two sets that are similar enough share one of their first shingles, when both are in
+        # one order, rarest first: |A & B| >= s |A|, so not all of the first |A| - s |A| + 1 can be
+        # outside B. Shingles of one open class lead to nothing and only count as places.
         nodes = current.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"))
         mine = nodes.join(items, "node").select("node", "n", "component", F.explode("items").alias("item"))
         spread = mine.groupBy("item").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        mine = materialize(mine.join(spread, "item"), "shared")
-        rare = mine.where(F.col("m") <= rare_shingle).select("item", "node", "n", "component")
-        common = mine.groupBy("node").agg(F.count_if(F.col("m") > rare_shingle).alias("common"))
-        # a pair is made once, in the first of the buckets that both are in
-        mine_too = current.groupBy("node").agg(F.collect_set("key").alias("keys"))
-        frequent = materialize(current.join(common, "node").join(mine_too, "node"), "open")
-
-        def other(rows_: DataFrame, *keep: str) -> DataFrame:
-            return rows_.select(
-                *[c for c in keep], F.col("node").alias("pivot"), F.col("n").alias("pivot_n"),
-                F.col("component").alias("home"),
-            )
-
-        apart = (F.col("node") > F.col("pivot")) & (F.col("component") != F.col("home"))
-        by_rare = rare.alias("l").join(
-            other(rare, "item").alias("r"), (F.col("l.item") == F.col("r.item")) & apart & fits("n", "pivot_n")
+        of_node = Window.partitionBy("node")
+        place = F.col("n") - F.count(F.lit(1)).over(of_node) + F.row_number().over(of_node.orderBy("m", "item"))
+        first = materialize(
+            mine.join(spread, "item").withColumn("place", place)
+            .where(F.col("place") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1)
+            .select("item", "node", "n", "component", (F.col("n") - F.col("place") + 1).alias("left")),
+            "shared",
         )
-        theirs = other(
-            frequent.withColumnsRenamed({"common": "pivot_common", "keys": "pivot_keys"}),
-            "key", "pivot_common", "pivot_keys",
+        other = first.select(
+            "item", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"),
+            F.col("component").alias("home"), F.col("left").alias("pivot_left"),
         )
-        once = F.array_min(F.array_intersect("keys", "pivot_keys")) == F.col("l.key")
-        by_bucket = frequent.alias("l").join(
-            theirs.alias("r"), (F.col("l.key") == F.col("r.key")) & apart & fits("common", "pivot_common") & once
+        # at the first shingle that both have, what is left of the shorter rest bounds their common part
+        enough = (100 + percent) * F.least("left", "pivot_left") >= percent * (F.col("n") + F.col("pivot_n"))
+        met = first.join(other, "item").where(
+            (F.col("node") > F.col("pivot")) & (F.col("component") != F.col("home")) & fits("n", "pivot_n") & enough
         )
-        met = by_rare.select("node", "pivot").union(by_bucket.select("node", "pivot"))
         pairs = materialize(_pairs(met).join(checked, ["a", "b"], "left_anti"), "pairs")
-        fresh = materialize(linked(pairs), "links")
-        if not fresh.isEmpty():
-            found = materialize(connected_components(links.union(fresh)), "components")
+        links = links.union(materialize(linked(pairs), "links").select("a", "b"))
+    found = materialize(connected_components(links), "components")
 
     named = classes.select("class", "node", "low").join(found, "node", "left").select(
         "class", "low", F.coalesce("component", "node").alias("component")
