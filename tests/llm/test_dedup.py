@@ -3,8 +3,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -58,6 +60,42 @@ def test_exact_groups_equal_brute_force(spark):
             assert got[i].text_sha256 == hashlib.sha256(t.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("fan, run", [(2, 3), (3, 1), (8, 50)])
+def test_runs_of_many_ranges_equal_brute_force(spark, fan, run):
+    rows = [(f"d{i * 7 % 400:03d}" if i % 9 else None, f"text {i % 90}") for i in range(400)]
+    df = spark.createDataFrame(rows, "name string, text string").repartition(13)
+    for text, size in Counter(t for _, t in rows).items():
+        assert size in (4, 5) and text
+    least = {}
+    for name, text in rows:
+        least[text] = min(least.get(text, (True, "")), (name is None, name or ""))
+    got = exact.exact_groups(df, "name", fan=fan, run=run).collect()
+    digest = {hashlib.sha256(t.encode()).hexdigest(): t for t in least}
+    assert len(got) == 400 and sum(r.kept for r in got) == 90
+    sizes = Counter(t for _, t in rows)
+    for r in got:
+        text = digest[r.text_sha256]
+        assert (r.keep_id is None, r.keep_id or "") == least[text] and r.group_size == sizes[text]
+
+
+def test_merge_is_ordered_verified_and_cut():
+    def entry(first, length, row, size=1):
+        return {"digest": bytes([first]) * 32, "verifier": {"bytes": length, "hash": 1},
+                "least": {"none": False, "id": row, "row": row}, "size": size}
+
+    runs = [[entry(1, 5, 9), entry(200, 5, 4)], [entry(1, 5, 3, 2), entry(1, 6, 1), entry(90, 5, 2)], [entry(255, 5, 8)]]
+    kind = pa.list_(pa.struct({
+        "digest": pa.binary(), "verifier": pa.struct({"bytes": pa.int32(), "hash": pa.int64()}),
+        "least": pa.struct({"none": pa.bool_(), "id": pa.int64(), "row": pa.int64()}), "size": pa.int64(),
+    }))
+    table = pa.table({"node": pa.array([0] * 3, pa.int32()), "range": pa.array([0] * 3), "run": pa.array(runs, kind)})
+    out = exact._merge((pa.scalar(0, pa.int32()), pa.scalar(0)), table, 2).to_pylist()
+    assert [r["range"] for r in out] == [0, 1] and {r["node"] for r in out} == {0}
+    assert [r["run"] for r in out] == [
+        [entry(1, 5, 3, 3), entry(1, 6, 1), entry(90, 5, 2)], [entry(200, 5, 4), entry(255, 5, 8)],
+    ]
+
+
 def test_exact_awkward_rows(spark):
     df = awkward(spark)
     got = exact.exact_groups(df)
