@@ -18,6 +18,12 @@ from loanloom.session import materialize
 LAST = np.iinfo(np.int64).max
 #: Most windows in one stretch; only repetitive text reaches it.
 LONGEST = 64
+#: Bytes of text that are stored, asked about and answered together.
+PIECE = 4 << 20
+#: Answer for a minimiser that has too much different text for one slice.
+HEAVY = 2
+#: Bytes of text whose minimisers share a bucket, on average.
+BUCKET_BYTES = 8 << 20
 
 
 def _window_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -73,65 +79,153 @@ def gather(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return data[shift + np.arange(len(shift))]
 
 
-def _load(batches, length, gram):
-    """Bytes and windows of the different strings of each minimiser, a piece of text at a time."""
-    for batch in arrays.pieces(batches, "text"):
-        data, at = arrays.flat(batch.column(2))
-        begin, end, _, low, _ = stretches(data, at, length, gram)
-        _, first = np.unique(arrays.span_hash(arrays.prefix_hash(data), begin, end), return_index=True)
-        low, of = np.unique(low[first], return_inverse=True)
-        size = (end - begin)[first]
-        sums = [np.bincount(of, w, len(low)).astype(np.int64) for w in (size, size - length + 1)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (low.view(np.int64), *sums)], ["low", "size", "windows"]
-        )
+def _zip(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(values).tobytes())
+
+
+def _unzip(packed: list[bytes], kind) -> np.ndarray:
+    open_ = zstandard.ZstdDecompressor()
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(open_.decompress(x), kind) for x in packed)])
+
+
+def _store(batches):
+    """Texts end to end in pieces of about ``PIECE`` bytes, with their keys; a longer text is one alone."""
+    from pyspark import TaskContext
+
+    name = TaskContext.get().partitionId() << 33
+    held, size = [], 0
+
+    def piece():
+        texts = pa.Table.from_batches(held).combine_chunks()
+        data, at = arrays.flat(texts.column("text").chunk(0))
+        key, document = (texts.column(c).to_numpy() for c in ("key", "document"))
+        return pa.RecordBatch.from_pydict({
+            "piece": [name], "n_bytes": [len(data)], "keys": [_zip(key)], "documents": [_zip(document)],
+            "lengths": [_zip(np.diff(at))], "bytes": [_zip(data)],
+        })
+
+    for batch in batches:
+        for part in arrays.pieces([batch], "text", PIECE):
+            more = int(arrays.flat(part.column(2))[1][-1])
+            if held and size + more > PIECE:
+                yield piece()
+                held, size, name = [], 0, name + 1
+            held.append(part)
+            size += more
+    if held:
+        yield piece()
+
+
+class Piece:
+    """The texts of one stored piece and the strings of their windows."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int):
+        def column(name):
+            return batch.column(batch.schema.get_field_index(name))[row].as_py()
+
+        self.column, self.name = column, column("piece")
+        self.key, self.document = (_unzip([column(c)], np.int64) for c in ("keys", "documents"))
+        self.at = np.concatenate([[0], np.cumsum(_unzip([column("lengths")], np.int64))])
+        self.data = _unzip([column("bytes")], np.uint8)
+
+    def strings(self, length: int, gram: int, slices: int = 1, heavy: np.ndarray | None = None):
+        """Begin, end, text number, minimiser, slice and hash of each stretch, about a MB of text at a time."""
+        cut = np.append(np.flatnonzero(np.diff(self.at[:-1] >> 20, prepend=-1)), len(self.at) - 1)
+        found = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, U64)]]
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            first = self.at[a]
+            data = self.data[first : self.at[b]]
+            begin, end, owner, low, slot = stretches(data, self.at[a : b + 1] - first, length, gram, slices, heavy)
+            text = arrays.span_hash(arrays.prefix_hash(data), begin, end)
+            found.append((begin + first, end + first, owner + a, low, slot, text))
+        return [np.concatenate(c) for c in zip(*found)]
+
+    def shared_strings(self, length: int, gram: int, buckets: int, slices: int):
+        """Those stretches whose minimiser other texts have too, by the answers to :func:`_ask`."""
+        found = self.strings(length, gram, slices)
+        names = np.unique(found[3])
+        code = np.zeros(len(names), np.uint8)
+        answers = sorted((r["bucket"], r["codes"]) for r in self.column("known") or ())
+        code[np.argsort(arrays.mix(names) % U64(buckets), kind="stable")] = _unzip([c for _, c in answers], np.uint8)
+        if (code == HEAVY).any():
+            found = self.strings(length, gram, slices, names[code == HEAVY])
+        keep = code[np.searchsorted(names, found[3])] > 0
+        return [x[keep] for x in found]
+
+
+def _rows(batches):
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield Piece(batch, row)
+
 
+def _ask(batches, length, gram, buckets):
+    """Per piece and bucket of minimisers: 32 bits of each, its windows in different strings, and if several texts have it."""
+    for piece in _rows(batches):
+        begin, end, owner, low, _, text = piece.strings(length, gram)
+        if not len(low):
+            continue
+        order = np.lexsort((text, low))
+        low, text, owner, windows = low[order], text[order], owner[order], (end - begin)[order] - length + 1
+        head = np.flatnonzero(np.diff(low, prepend=low[0] - U64(1)))
+        windows[1:][(text[1:] == text[:-1]) & (low[1:] == low[:-1])] = 0
+        several = np.minimum.reduceat(owner, head) < np.maximum.reduceat(owner, head)
+        weight = 2 * np.add.reduceat(windows, head) + several
+        mixed = arrays.mix(low[head])
+        bucket = (mixed % U64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        prints, weight, bucket = (mixed >> U64(32)).astype(np.uint32)[order], weight[order], bucket[order]
+        cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        spans = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
+        yield pa.RecordBatch.from_pydict({
+            "piece": pa.array([piece.name] * len(spans), pa.int64()), "bucket": pa.array(bucket[cut[:-1]]),
+            "prints": [_zip(prints[a:b]) for a, b in spans], "weights": [_zip(weight[a:b]) for a, b in spans],
+        })
+
+
+def _answer(table: pa.Table, length: int, slice_bytes: int) -> pa.Table:
+    """To every piece: which minimisers stand in one text alone (0), in several, or are heavy."""
+    prints = [_unzip([x], np.uint32) for x in table["prints"].to_pylist()]
+    weight = _unzip(table["weights"].to_pylist(), np.int64)
+    _, back = np.unique(np.concatenate(prints), return_inverse=True)
+    several = np.bincount(back) + np.bincount(back, weight & 1) > 1
+    windows = np.bincount(back, weight >> 1)
+    heavy = several & (windows * length > slice_bytes)
+    code = np.where(heavy, HEAVY, several).astype(np.uint8)[back]
+    n = table.num_rows
+    return pa.table({
+        "piece": table["piece"], "bucket": table["bucket"],
+        "codes": pa.array([_zip(c) for c in np.split(code, np.cumsum([len(p) for p in prints])[:-1])], pa.binary()),
+        "windows": np.array([int(windows[heavy].sum())] + [0] * (n - 1), np.int64),
+    })
 
-def _spread(batches, length, gram, slices, heavy):
-    """The different strings of a piece of text with their smallest and largest key, per slice."""
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch in arrays.pieces(batches, "text"):
-        data, at = arrays.flat(batch.column(2))
-        begin, end, owner, low, slot = stretches(data, at, length, gram, slices, heavy)
+
+def _spread(batches, length, gram, buckets, slices):
+    """The different shared strings of a piece with their smallest and largest key, per slice."""
+    for piece in _rows(batches):
+        begin, end, owner, low, slot, text = piece.shared_strings(length, gram, buckets, slices)
         if not len(begin):
             continue
-        text = arrays.span_hash(arrays.prefix_hash(data), begin, end)
         order = np.lexsort((text, low, slot))  # strings of one minimiser compress well together
         begin, end, owner, text, slot = (x[order] for x in (begin, end, owner, text, slot))
         new = np.ones(len(text), bool)
         new[1:] = (text[1:] != text[:-1]) | (slot[1:] != slot[:-1])
         head = np.flatnonzero(new)
-        key = batch.column(0).to_numpy()[owner]
+        key = piece.key[owner]
         least, most = np.minimum.reduceat(key, head), np.maximum.reduceat(key, head)
         begin, end, slot = begin[head], end[head], slot[head]
         cut = np.append(np.flatnonzero(np.diff(slot, prepend=-1)), len(slot))
         rows = []
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            rows.append((
-                int(slot[a]),
-                *(packer.compress(np.ascontiguousarray(x).tobytes()) for x in (
-                    gather(data, begin[a:b], end[a:b]), (end - begin)[a:b].astype(np.int32), least[a:b], most[a:b],
-                )),
-            ))
-        names = ["slice", "bytes", "lengths", "least", "most"]
-        kinds = [pa.int64(), *[pa.binary()] * 4]
+            columns = (
+                gather(piece.data, begin[a:b], end[a:b]), (end - begin)[a:b].astype(np.int32), least[a:b], most[a:b]
+            )
+            rows.append((int(slot[a]), piece.name, *map(_zip, columns)))
+        names = ["slice", "piece", "bytes", "lengths", "least", "most"]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def _places(batches, length, gram, slices, heavy):
-    """Where each string stands: slice, the string's hash, key, document and start."""
-    for batch in arrays.pieces(batches, "text"):
-        data, at = arrays.flat(batch.column(2))
-        begin, end, owner, _, slot = stretches(data, at, length, gram, slices, heavy)
-        text = arrays.span_hash(arrays.prefix_hash(data), begin, end).view(np.int64)
-        columns = (
-            slot, text, batch.column(0).to_numpy()[owner], batch.column(1).to_numpy()[owner], begin - at[owner]
-        )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], ["slice", "string", "key", "document", "start"]
-        )
-
-
 def _words(data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Eight bytes from each place as one number, in lexical order; 0 past the stop."""
     out = np.zeros(len(at), U64)
@@ -224,13 +318,12 @@ class Slice:
     """All strings of one slice, each once, with the smallest and largest key that hold them."""
 
     def __init__(self, table: pa.Table):
-        open_ = zstandard.ZstdDecompressor()
-
         def column(name, kind):
-            return np.concatenate([np.frombuffer(open_.decompress(x), kind) for x in table[name].to_pylist()])
+            return _unzip(table[name].to_pylist(), kind)
 
         data = column("bytes", np.uint8)
-        sizes = column("lengths", np.int32).astype(np.int64)
+        lengths = [_unzip([x], np.int32).astype(np.int64) for x in table["lengths"].to_pylist()]
+        sizes = np.concatenate(lengths)
         end = np.cumsum(sizes)
         self.name, first, back = np.unique(
             arrays.hash_spans(data, end - sizes, end), return_index=True, return_inverse=True
@@ -239,8 +332,35 @@ class Slice:
         self.end = np.cumsum(sizes[first])
         self.begin = self.end - sizes[first]
         self.low, self.high = np.full(len(first), LAST), np.full(len(first), -LAST - 1)
+        self.most = column("most", np.int64)
         np.minimum.at(self.low, back, column("least", np.int64))
-        np.maximum.at(self.high, back, column("most", np.int64))
+        np.maximum.at(self.high, back, self.most)
+        # each piece's strings, in the order in which it sent them
+        self.sent = np.split(back, np.cumsum([len(x) for x in lengths])[:-1])
+        self.pieces = table["piece"].to_pylist()
+
+    def replies(self, string: np.ndarray, least: np.ndarray | None = None, **columns: np.ndarray) -> pa.Table:
+        """What was found of each string, to every piece that has it.
+
+        With ``least`` only where the piece has the string under a larger key too.
+        """
+        order = np.argsort(string, kind="stable")
+        string = string[order]
+        columns = {n: c[order] for n, c in columns.items()}
+        if least is not None:
+            columns["least"] = least[order]
+        rows, at = [], 0
+        for piece, mine in zip(self.pieces, self.sent):
+            first, last = (np.searchsorted(string, mine, side) for side in ("left", "right"))
+            found, of = _ranges(first, last - first)
+            if least is not None:
+                found = found[columns["least"][found] < self.most[at : at + len(mine)][of]]
+            at += len(mine)
+            if len(found):
+                rows.append((piece, _zip(self.name[string[found]]), *(_zip(c[found]) for c in columns.values())))
+        names = ["piece", "string", *columns]
+        kinds = [pa.int64(), *[pa.binary()] * (len(names) - 1)]
+        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
     def repeats(self, length: int) -> tuple[np.ndarray, ...]:
         """Maximal repeats of different strings: strings and places in suffix order, then
@@ -354,21 +474,35 @@ def _members(table: pa.Table, length: int) -> pa.Table:
     )
     # a string that is held whole may be in an interval too
     _, once = np.unique(np.stack([group, string, place], 1), axis=0, return_index=True)
-    columns = (part.name.view(np.int64)[string], place, size, group)
-    return pa.table({
-        "slice": np.full(len(once), table["slice"][0].as_py()),
-        **{n: c[once] for n, c in zip(("string", "place", "length", "group"), columns)},
-    })
+    return part.replies(string[once], place=place[once], length=size[once], group=group[once])
 
 
 def _cover(table: pa.Table, length: int) -> pa.Table:
     part = Slice(table)
     string, first, end, least = _covered(part, length)
-    columns = (part.name.view(np.int64)[string], first, end, least)
-    return pa.table({
-        "slice": np.full(len(string), table["slice"][0].as_py()),
-        **dict(zip(("string", "first", "end", "least"), columns)),
-    })
+    return part.replies(string, least, first=first, end=end)
+
+
+def _found(piece: Piece, strings: list[np.ndarray], names: tuple[str, ...]):
+    """The replies to a piece for each place of its strings: the stretch, then the named columns."""
+    replies = piece.column("found") or ()
+    text = _unzip([r["string"] for r in replies], U64)
+    columns = [_unzip([r[n] for r in replies], np.int64) for n in names]
+    order = np.argsort(text, kind="stable")
+    first, last = (np.searchsorted(text[order], strings[5], side) for side in ("left", "right"))
+    found, of = _ranges(first, last - first)
+    return of, *(c[order[found]] for c in columns)
+
+
+def _occurrences(batches, length, gram, buckets, slices):
+    for piece in _rows(batches):
+        strings = piece.shared_strings(length, gram, buckets, slices)
+        of, place, size, group = _found(piece, strings, ("place", "length", "group"))
+        begin, owner = strings[0][of], strings[2][of]
+        columns = (group, size, piece.key[owner], piece.document[owner], begin - piece.at[owner] + place)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], ["group", "length", "key", "document", "start"]
+        )
 
 
 def _source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -380,31 +514,46 @@ def _source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def _sliced(source: DataFrame, length: int, gram: int, slice_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """The strings of every slice, and where each string stands.
+def _sliced(source: DataFrame, length: int, gram: int, slice_bytes: int):
+    """The shared strings of every slice, and a function that takes replies back to the texts.
 
-    A minimiser whose different strings alone pass ``slice_bytes`` is heavy: its windows are
-    dealt over all slices by their own hash. Only strings meet in a slice; occurrences are
-    joined to what it finds, so a hot string is split by the adaptive skew join.
+    The corpus is read once and stored in compressed pieces. Each piece asks the buckets of
+    its minimisers which of them other texts have; only strings of those are sent to slices.
+    A false match of 32 bits within a bucket sends a string in vain and changes no result.
+    A minimiser whose windows alone would pass ``slice_bytes`` is heavy: its windows are dealt
+    over all slices by their own hash. Answers and replies go to the pieces that asked, so
+    no occurrence of a string travels and no list of minimisers is held in one place.
     """
-    total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    load = source.mapInArrow(partial(_load, length=length, gram=gram), "low long, size long, windows long")
-    heavy = (
-        load.groupBy("low").agg(F.sum("size").alias("size"), F.sum("windows").alias("windows"))
-        .where(F.col("size") > slice_bytes).collect()
+    gram = min(gram, length)
+    pieces = materialize(source.mapInArrow(
+        _store, "piece long, n_bytes long, keys binary, documents binary, lengths binary, bytes binary"
+    ), "pieces")
+    total = pieces.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = int(total // BUCKET_BYTES) + 1
+    asked = pieces.mapInArrow(
+        partial(_ask, length=length, gram=gram, buckets=buckets),
+        "piece long, bucket long, prints binary, weights binary",
     )
+    answers = materialize(asked.groupBy("bucket").applyInArrow(
+        lambda table: _answer(table, length, slice_bytes), "piece long, bucket long, codes binary, windows long"
+    ), "answers")
     # alone, each window of a heavy minimiser is a string
-    slices = int((total + length * sum(r.windows for r in heavy)) // slice_bytes) + 1
+    heavy = answers.agg(F.sum("windows")).first()[0] or 0
     options = dict(
-        length=length, gram=gram, slices=slices, heavy=np.sort(np.array([r.low for r in heavy], np.int64).view(U64))
+        length=length, gram=gram, buckets=buckets, slices=int((total + length * heavy) // slice_bytes) + 1
     )
-    strings = source.mapInArrow(
-        partial(_spread, **options), "slice long, bytes binary, lengths binary, least binary, most binary"
+    known = answers.groupBy("piece").agg(F.collect_list(F.struct("bucket", "codes")).alias("known"))
+    informed = pieces.join(known, "piece", "left")
+    strings = informed.mapInArrow(
+        partial(_spread, **options), "slice long, piece long, bytes binary, lengths binary, least binary, most binary"
     )
-    places = source.mapInArrow(
-        partial(_places, **options), "slice long, string long, key long, document long, start long"
-    )
-    return strings, places
+
+    def at_home(replies: DataFrame, mapper, schema: str) -> DataFrame:
+        columns = [c for c in replies.columns if c != "piece"]
+        found = replies.groupBy("piece").agg(F.collect_list(F.struct(*columns)).alias("found"))
+        return informed.join(found, "piece", "left").mapInArrow(partial(mapper, **options), schema)
+
+    return strings, at_home
 
 
 def _joined(parts: DataFrame) -> DataFrame:
@@ -438,7 +587,7 @@ def repeat_groups(
     id_column: str = "doc_id",
     text_column: str = "text",
     length: int = 50,
-    gram: int = 8,
+    gram: int = 24,
     slice_bytes: int = 4 << 20,
 ) -> DataFrame:
     """Maximal repeats of ``length`` bytes or more across documents, with all occurrences.
@@ -447,8 +596,9 @@ def repeat_groups(
     ``start`` and ``first_key`` (smallest id of the group) per occurrence. Texts are UTF-8
     bytes; no match crosses documents.
 
-    Windows of ``length`` bytes go to slices by their minimiser, and those of a minimiser with
-    more than ``slice_bytes`` of different text by their own hash, so all occurrences of a
+    Windows of ``length`` bytes whose minimiser (smallest hash of their ``gram``-byte strings)
+    stands in several texts go to slices by it, and those of a minimiser with more than
+    ``slice_bytes`` of different text by their own hash, so all occurrences of a
     window meet in one slice of about ``slice_bytes`` of text; a slice holds each distinct
     string of a piece of text once. There an enhanced suffix array is built over the windows that occur in
     several documents, a stack scan makes its common-prefix intervals, and those whose
@@ -463,15 +613,12 @@ def repeat_groups(
     document. An empty table gives no rows.
     """
     source = _source(docs, id_column, text_column)
-    strings, places = _sliced(source, length, gram, slice_bytes)
+    strings, at_home = _sliced(source, length, gram, slice_bytes)
     members = strings.groupBy("slice").applyInArrow(
-        lambda table: _members(table, length), "slice long, string long, place long, length long, group long"
+        lambda table: _members(table, length), "piece long, string binary, place binary, length binary, group binary"
     )
     parts = materialize(
-        members.join(places, ["slice", "string"]).select(
-            "group", "length", "key", "document", (F.col("start") + F.col("place")).alias("start")
-        ),
-        "parts",
+        at_home(members, _occurrences, "group long, length long, key long, document long, start long"), "parts"
     )
     return _joined(parts).select(
         F.xxhash64("group", "length").alias("group"), "length",
@@ -479,35 +626,26 @@ def repeat_groups(
     )
 
 
-def _compress(batches):
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        packed = [packer.compress(t.encode()) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["key", "document", "packed"]
-        )
-
-
-def _cut_out(batches, with_text):
-    open_ = zstandard.ZstdDecompressor()
-    for batch in batches:
+def _cut_out(batches, length, gram, buckets, slices, with_text):
+    for piece in _rows(batches):
+        strings = piece.shared_strings(length, gram, buckets, slices)
+        of, first, end, least = _found(piece, strings, ("first", "end", "least"))
+        later = piece.key[strings[2][of]] > least
+        of, first, end = of[later], first[later], end[later]
+        step = np.zeros(len(piece.data) + 1, np.int32)
+        np.add.at(step, strings[0][of] + first, 1)
+        np.add.at(step, strings[0][of] + end, -1)
+        gone = np.cumsum(step[:-1]) > 0
         rows = []
-        for packed, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            raw = open_.decompress(packed)
-            kept, at, runs = [], 0, 0
-            end = -1  # of the current run of removed bytes
-            for first, last in sorted((s["start"], s["end"]) for s in spans or ()):
-                if first > end:
-                    runs += 1
-                    kept.append(raw[at:first])
-                at = end = max(end, last)
-            left = b"".join([*kept, raw[at:]])
-            rows.append((len(raw), len(raw) - len(left), runs, hashlib.sha256(left).hexdigest(),
-                         left if with_text else None))
+        for a, b in zip(piece.at[:-1].tolist(), piece.at[1:].tolist()):
+            mine = gone[a:b]
+            left = piece.data[a:b][~mine].tobytes()
+            runs = int(np.count_nonzero(mine[1:] & ~mine[:-1])) + int(mine[:1].sum())
+            rows.append((b - a, b - a - len(left), runs, hashlib.sha256(left).hexdigest(), left if with_text else None))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *columns], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+            [pa.array(piece.key), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))],
+            ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
         )
 
 
@@ -516,7 +654,7 @@ def remove_repeats(
     id_column: str = "doc_id",
     text_column: str = "text",
     length: int = 50,
-    gram: int = 8,
+    gram: int = 24,
     slice_bytes: int = 4 << 20,
     with_text: bool = True,
 ) -> DataFrame:
@@ -528,17 +666,12 @@ def remove_repeats(
     and for nulls; rows of one id do not remove each other's bytes.
     """
     source = _source(docs, id_column, text_column)
-    strings, places = _sliced(source, length, gram, slice_bytes)
+    strings, at_home = _sliced(source, length, gram, slice_bytes)
     cover = strings.groupBy("slice").applyInArrow(
-        lambda table: _cover(table, length), "slice long, string long, first long, end long, least long"
+        lambda table: _cover(table, length), "piece long, string binary, first binary, end binary, least binary"
     )
-    span = F.struct((F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("end")).alias("end"))
-    spans = places.join(cover, ["slice", "string"]).where("key > least").select(
-        "key", "document", span.alias("span")
-    ).groupBy("key", "document").agg(F.collect_list("span").alias("spans"))
-    texts = source.mapInArrow(_compress, "key long, document long, packed binary")
-    cut = texts.join(spans, ["key", "document"], "left").select("key", "packed", "spans").mapInArrow(
-        partial(_cut_out, with_text=with_text),
+    cut = at_home(
+        cover, partial(_cut_out, with_text=with_text),
         "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
     )
     return cut.select(
