@@ -116,7 +116,7 @@ def _cut(batches, path, window, end_id, with_ids):
 
     part = TaskContext.get().partitionId()
     seen: dict[int, int] = {}
-    for batch in arrays.pieces(batches, "text", 1 << 21):
+    for batch in arrays.pieces(batches, "text", 1 << 20):
         ids, at = token_ids(batch.column(1), path)
         rows: list[tuple] = []
         for doc, a, b in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist()):

@@ -18,27 +18,38 @@ class SegmentEncoder:
     """Encodes segments through ``encode(list of str) -> list of id lists``, each once.
 
     Segments are told apart by their bytes. Holds at most ``limit`` of them and ``limit_bytes`` of
-    their text; when full it starts anew, which changes no result.
+    their text, and one batch more; when full only those that the present batch uses stay, which
+    changes no result and keeps the frequent ones.
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], Sequence[Sequence[int]]], limit: int = 1_000_000,
-        limit_bytes: int = 32 << 20,
+        self, encode: Callable[[list[str]], Sequence[Sequence[int]]], limit: int = 800_000,
+        limit_bytes: int = 32 << 20, at_once: int = 1 << 13,
     ):
-        self.encode, self.limit, self.limit_bytes = encode, limit, limit_bytes
-        self._clear()
-
-    def _clear(self) -> None:
+        self.encode, self.limit, self.limit_bytes, self.at_once = encode, limit, limit_bytes, at_once
         self.slots: dict[bytes, int] = {}
         self.size = 0
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
+    def _keep(self, segments: list[bytes]) -> None:
+        """Forget all segments but these, which are known."""
+        slot = np.fromiter(map(self.slots.__getitem__, segments), np.int64, len(segments))
+        first, self.count = self.first[slot], self.count[slot]
+        total = np.cumsum(self.count)
+        self.first = total - self.count
+        self.ids = self.ids[np.repeat(first - self.first, self.count) + np.arange(int(self.count.sum()))]
+        self.slots = dict(zip(segments, range(len(segments))))
+        self.size = sum(map(len, segments))
+
     def _learn(self, segments: list[bytes]) -> None:
-        found = self.encode([s.decode("utf-8") for s in segments])
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f), np.int32, int(count.sum()))
+        counts, parts = [], []
+        for at in range(0, len(segments), self.at_once):  # an encoding is far larger than its ids
+            found = self.encode([s.decode("utf-8") for s in segments[at : at + self.at_once]])
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            parts.append(np.fromiter((i for f in found for i in f), np.int32, int(counts[-1].sum())))
+        count, ids = np.concatenate(counts), np.concatenate(parts)
         self.slots.update(zip(segments, range(len(self.slots), len(self.slots) + len(segments))))
         self.size += sum(map(len, segments))
         self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
@@ -52,8 +63,7 @@ class SegmentEncoder:
         fresh = [n for n in names if n not in self.slots]
         if fresh:
             if len(self.slots) + len(fresh) > self.limit or self.size > self.limit_bytes:
-                self._clear()
-                fresh = names
+                self._keep([n for n in names if n in self.slots])
             self._learn(fresh)
         slot = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))[number]
         count = self.count[slot]
