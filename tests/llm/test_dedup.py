@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import os
 import re
 from collections import Counter
 
@@ -240,6 +241,24 @@ def test_lines_awkward_rows(spark):
     assert lines.line_components(df.limit(0)).count() == 0
 
 
+def test_lines_leave_no_texts_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+
+    def left():
+        return {f for f in os.listdir(shared) if f.startswith(("texts-", "shared-"))} if os.path.isdir(shared) else set()
+
+    before, docs = left(), near_copies(seed=5)
+    got = lines.line_components(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert left() == before
+    assert got.where("not kept").count() > 0 and left() == before
+
+
+@pytest.mark.parametrize("other", ["  ", "\t", "\x0b", "\f", "\r", " \t\r "])
+def test_each_white_space_alone_is_one_blank(spark, other):
+    df = spark.createDataFrame([(1, "some words here"), (2, f"some{other}words here")], "doc_id long, text string")
+    assert lines.line_components(df).select("line_id").distinct().count() == 1
+
+
 # --- repeats ---
 
 
