@@ -142,7 +142,10 @@ def distinct_spans(
     """A number per span, the same for equal bytes only, and the bytes behind each number."""
     size = end - start
     offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    joined = data[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
+    if len(start) and np.array_equal(start[1:], end[:-1]):  # without gaps
+        joined = data[start[0] : end[-1]]
+    else:
+        joined = data[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
     spans = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(joined))]
     ).dictionary_encode()

@@ -34,30 +34,41 @@ def _classes(limit: int = 0x250) -> np.ndarray:
     return out
 
 
-def split_words(codes: np.ndarray) -> np.ndarray:
-    """Starts of the words that the byte-level pattern splits one text into.
+def split_words(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Starts of the words that the byte-level pattern splits texts into.
 
-    Runs of letters, numbers, white space or other characters; one blank before a run
+    ``codes`` holds the code points of all texts end to end, ``at`` where each begins and the
+    end. Runs of letters, numbers, white space or other characters; one blank before a run
     other than white space belongs to it; the last character of a white-space run that is
-    followed by something stands alone or is that blank; contractions are cut off.
+    followed by something stands alone or is that blank; contractions are cut off. Nothing
+    crosses the border of two texts.
     """
     kind = _classes()[codes]
     n = len(codes)
     start = np.ones(n, bool)
     start[1:] = kind[1:] != kind[:-1]
-    run = np.flatnonzero(start)
+    border = np.zeros(n + 1, bool)
+    border[at] = True
+    inner = np.flatnonzero(start & ~border[:-1])
     # the last white-space character before another run
-    tail = run[1:][kind[run[1:] - 1] == SPACE] - 1
+    tail = inner[kind[inner - 1] == SPACE] - 1
+    start |= border[:-1]
     start[tail] = True
     blank = tail[codes[tail] == 0x20]
     start[blank + 1] = False
-    for at in np.flatnonzero(start & (codes == 0x27)).tolist():
-        for end in CONTRACTIONS:
-            if at + len(end) <= n and all(codes[at + k] == ord(c) for k, c in enumerate(end)):
-                start[at + 1 : at + len(end)] = False
-                if at + len(end) < n and kind[at + len(end)] == LETTER:
-                    start[at + len(end)] = True
-                break
+    quote = np.flatnonzero(start & (codes == 0x27))
+    left = at[np.searchsorted(at, quote, side="right")] - quote  # characters to the text's end
+    after = np.concatenate([codes, np.zeros(2, codes.dtype)])
+    for word in CONTRACTIONS:
+        size = len(word)
+        mine = left >= size
+        for k in range(1, size):
+            mine &= after[quote + k] == ord(word[k])
+        hit = quote[mine]
+        for k in range(1, size):
+            start[hit + k] = False
+        end = hit[left[mine] > size] + size
+        start[end[kind[end] == LETTER]] = True
     return np.flatnonzero(start)
 
 
@@ -82,24 +93,31 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """
     whole, encoder, special = _tokenizer(path)
     data, at = arrays.flat(texts)
-    starts, ends, owner, by_hand = [], [], [], {}
-    for i, text in enumerate(texts.fill_null("").to_pylist()):
-        if not text:
-            continue
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        if codes.max() >= len(_classes()) or any(s in text for s in special):
+    raw, n, by_hand = data.tobytes(), len(texts), {}
+    codes = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
+    place = np.flatnonzero((data & 0xC0) != 0x80)
+    chars = np.searchsorted(place, at)
+    hard = np.searchsorted(chars, np.flatnonzero(codes >= len(_classes())), side="right") - 1
+    odd = set(hard.tolist())
+    for name in (s.encode() for s in special):
+        if name in raw:
+            odd |= {i for i in range(n) if name in raw[at[i] : at[i + 1]]}
+    if odd:
+        for i in sorted(odd):
+            text = raw[at[i] : at[i + 1]].decode("utf-8")
             by_hand[i] = np.array(whole.encode(text, add_special_tokens=False).ids, np.int32)
-            continue
-        width = np.cumsum(1 + (codes >= 0x80))
-        first = split_words(codes)
-        begin = np.where(first > 0, width[first - 1], 0) + at[i]
-        starts.append(begin)
-        ends.append(np.append(begin[1:], at[i + 1]))
-        owner.append(np.full(len(begin), i))
-    n = len(texts)
-    if starts:
-        ids, count = encoder(data, np.concatenate(starts), np.concatenate(ends))
-        sizes = np.bincount(np.concatenate(owner), weights=count, minlength=n).astype(np.int64)
+        plain = np.ones(n, bool)
+        plain[list(odd)] = False
+        data = data[np.repeat(plain, np.diff(at))]
+        codes = codes[np.repeat(plain, np.diff(chars))]
+        place = np.flatnonzero((data & 0xC0) != 0x80)
+        chars = np.concatenate([[0], np.cumsum(np.where(plain, np.diff(chars), 0))])
+    if len(codes):
+        first = split_words(codes, chars)
+        begin = place[first]
+        ids, count = encoder(data, begin, np.append(begin[1:], len(data)))
+        total = np.concatenate([[0], np.cumsum(count)])
+        sizes = np.diff(total[np.searchsorted(first, chars)])
     else:
         ids, sizes = np.zeros(0, np.int32), np.zeros(n, np.int64)
     if by_hand:

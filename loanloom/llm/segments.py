@@ -8,6 +8,7 @@ cache, and the ids of a batch are gathered with array operations.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -48,7 +49,7 @@ class SegmentEncoder:
         for at in range(0, len(segments), self.at_once):  # an encoding is far larger than its ids
             found = self.encode([s.decode("utf-8") for s in segments[at : at + self.at_once]])
             counts.append(np.fromiter(map(len, found), np.int64, len(found)))
-            parts.append(np.fromiter((i for f in found for i in f), np.int32, int(counts[-1].sum())))
+            parts.append(np.fromiter(chain.from_iterable(found), np.int32, int(counts[-1].sum())))
         count, ids = np.concatenate(counts), np.concatenate(parts)
         self.slots.update(zip(segments, range(len(self.slots), len(self.slots) + len(segments))))
         self.size += sum(map(len, segments))
@@ -60,12 +61,17 @@ class SegmentEncoder:
         """Ids of all segments end to end, and the number of ids of each segment."""
         number, distinct = arrays.distinct_spans(data, start, end)
         names = distinct.to_pylist()
-        fresh = [n for n in names if n not in self.slots]
-        if fresh:
+        known = np.fromiter(map(self.slots.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            fresh = [names[i] for i in new.tolist()]
             if len(self.slots) + len(fresh) > self.limit or self.size > self.limit_bytes:
-                self._keep([n for n in names if n in self.slots])
+                kept = np.flatnonzero(known >= 0)
+                self._keep([names[i] for i in kept.tolist()])
+                known[kept] = np.arange(len(kept))
+            known[new] = len(self.slots) + np.arange(len(new))
             self._learn(fresh)
-        slot = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))[number]
+        slot = known[number]
         count = self.count[slot]
         total = np.cumsum(count)
         source = np.repeat(self.first[slot] - (total - count), count)

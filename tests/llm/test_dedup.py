@@ -1,8 +1,8 @@
 from __future__ import annotations
 
 import hashlib
-import random
 import os
+import random
 import re
 from collections import Counter
 

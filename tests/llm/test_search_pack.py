@@ -109,6 +109,19 @@ def plain_best_fit(lengths, window):
     return sorted(window - r for r in room)
 
 
+def test_a_batch_of_texts_is_split_at_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole, calls, split = Tokenizer.from_file(TOKENIZER), [], packing.split_words
+    monkeypatch.setattr(packing, "split_words", lambda *args: calls.append(1) or split(*args))
+    ends = ["it's", " 's", "'", "'s", "re", "'l", "l\n", "\n ", " ", "", "a \n b  c", "☃ it's", "é'd1", "we've", None, "x"]
+    texts = [a if b is None else f"{a or ''}{b}" for a in ends for b in ends]
+    ids, at = packing.token_ids(pa.array(texts, pa.string()), TOKENIZER)
+    for text, a, b in zip(texts, at[:-1], at[1:]):
+        assert ids[a:b].tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+    assert len(calls) == 1
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_grouped_best_fit_equals_one_by_one(seed):
     rnd = random.Random(seed)
