@@ -12,6 +12,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Base of the polynomial hash modulo 2**64; odd, so that it has an inverse.
@@ -27,9 +28,10 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 <<
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.diff(flat(batch.column(batch.schema.get_field_index(column)))[1])
+        # the sizes alone: a batch is far larger than a piece, and its texts are not copied for them
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column))).fill_null(0)
         first, total = 0, 0
-        for i, size in enumerate(sizes.tolist()):
+        for i, size in enumerate(sizes.to_pylist()):
             if total and total + size > max_bytes:
                 yield batch.slice(first, i - first)
                 first, total = i, 0

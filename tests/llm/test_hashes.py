@@ -78,6 +78,17 @@ def test_segments_are_told_apart_by_bytes_and_the_cache_stays_small():
     assert asked.count("ab") == 2 and asked.count("cd") >= 1
 
 
+def test_segments_met_again_stay_when_the_cache_is_full():
+    asked = []
+    coder = segments.SegmentEncoder(lambda ts: asked.extend(ts) or [[ord(t[0])] for t in ts], limit=4)
+    for text in ("aa bb", "aa cc", "dd ee", "aa ff", "aa gg hh", "aa"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        start, end, _ = arrays.words(data, np.array([0, len(data)]))
+        ids, _ = coder(data, start, end)
+        assert ids.tolist() == [ord(w[0]) for w in text.split()] and len(coder.slots) <= 4
+    assert asked.count("aa") == 1
+
+
 def test_overlap_of_bare_values_is_linear_and_right():
     import random
     import time
