@@ -95,6 +95,13 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(raw + (end - start).astype(U64) * U64(0x2545F4914F6CDD1D))
 
 
+def window_hash(prefix: np.ndarray, width: int) -> np.ndarray:
+    """``span_hash`` of every ``width``-byte string, in order."""
+    _, inverse = powers(len(prefix))
+    n = len(prefix) - width
+    return mix((prefix[width:] - prefix[:n]) * inverse[:n] + U64(width * 0x2545F4914F6CDD1D & 2**64 - 1))
+
+
 def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, block: int = 1 << 20) -> np.ndarray:
     """``span_hash`` of spans in order of their begin, over a block of ``data`` at a time."""
     out = np.zeros(len(begin), U64)

@@ -18,6 +18,8 @@ from loanloom.session import materialize
 LAST = np.iinfo(np.int64).max
 #: Most windows in one stretch; only repetitive text reaches it.
 LONGEST = 64
+#: Bytes of text whose windows are hashed at once: the arrays stay in a core's cache.
+BLOCK = 1 << 16
 #: Bytes of text that are stored, asked about and answered together.
 PIECE = 4 << 20
 #: Answer for a minimiser that has too much different text for one slice.
@@ -36,40 +38,45 @@ def _window_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def stretches(
-    data: np.ndarray, at: np.ndarray, length: int, gram: int, slices: int = 1, heavy: np.ndarray | None = None
-) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one minimiser: first byte, end, text number, minimiser and slice.
+def stretches(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one minimiser: first byte, end, text number, minimiser and hash.
 
     The smallest hash of a window's ``gram``-byte strings depends on the window alone, so
     equal windows anywhere have the same one. Windows that overlap mostly share it, and
-    such a run is sent as one string of its windows' bytes. Windows of a ``heavy`` minimiser
-    (sorted) go to slices by their own hash, so that no slice gets all of them.
+    such a run is sent as one string of its windows' bytes.
     """
     n = len(data) - length + 1
     if n <= 0:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U64, np.int64))
-    start = np.arange(len(data) - gram + 1)
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U64, U64))
     prefix = arrays.prefix_hash(data)
-    low = _window_minimum(arrays.span_hash(prefix, start, start + gram), length - gram + 1)
-    slot = arrays.mix(low) % U64(slices)
-    if heavy is not None and len(heavy):
-        hot = np.flatnonzero(heavy[np.minimum(np.searchsorted(heavy, low), len(heavy) - 1)] == low)
-        slot[hot] = arrays.mix(arrays.span_hash(prefix, hot, hot + length)) % U64(slices)
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    inside = owner[:n] == owner[length - 1 :]
-    edge = (low[1:] != low[:-1]) | (slot[1:] != slot[:-1]) | (owner[1:n] != owner[: n - 1])
+    low = _window_minimum(arrays.window_hash(prefix, gram), length - gram + 1)
+    # a window that begins less than its length before a border is in no text
+    cuts = np.unique(at[(at > 0) & (at < len(data))])
+    step = np.zeros(n + 1, np.int32)
+    np.add.at(step, np.maximum(cuts - length + 1, 0).clip(max=n), 1)
+    np.add.at(step, cuts.clip(max=n), -1)
+    inside = np.cumsum(step[:n], dtype=np.int32) == 0
+    edge = low[1:] != low[:-1]
+    edge[cuts[cuts < n] - 1] = True
     first = inside.copy()
     first[1:] &= ~inside[:-1] | edge
     last = inside.copy()
     last[:-1] &= ~inside[1:] | edge
-    begin, windows = np.flatnonzero(first), np.flatnonzero(last) - np.flatnonzero(first) + 1
-    # repetitive text keeps one minimiser for long: cut it, its windows stay in one slice
+    begin = np.flatnonzero(first)
+    # repetitive text keeps one minimiser for long: cut it
+    begin, windows = _cut_long(begin, np.flatnonzero(last) - begin + 1)
+    end = begin + windows - 1 + length
+    owner = np.searchsorted(at, begin, side="right") - 1
+    return begin, end, owner, low[begin], arrays.span_hash(prefix, begin, end)
+
+
+def _cut_long(begin: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same runs of windows, none of more than ``LONGEST``."""
+    if not len(windows) or windows.max() <= LONGEST:
+        return begin, windows
     parts = -(-windows // LONGEST)
     part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-    windows = np.minimum(np.repeat(windows, parts) - part * LONGEST, LONGEST)
-    begin = np.repeat(begin, parts) + part * LONGEST
-    return begin, begin + windows - 1 + length, owner[begin], low[begin], slot[begin].astype(np.int64)
+    return np.repeat(begin, parts) + part * LONGEST, np.minimum(np.repeat(windows, parts) - part * LONGEST, LONGEST)
 
 
 def gather(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -128,29 +135,49 @@ class Piece:
         self.at = np.concatenate([[0], np.cumsum(_unzip([column("lengths")], np.int64))])
         self.data = _unzip([column("bytes")], np.uint8)
 
-    def strings(self, length: int, gram: int, slices: int = 1, heavy: np.ndarray | None = None):
-        """Begin, end, text number, minimiser, slice and hash of each stretch, about a MB of text at a time."""
-        cut = np.append(np.flatnonzero(np.diff(self.at[:-1] >> 20, prepend=-1)), len(self.at) - 1)
-        found = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, U64)]]
+    def strings(self, length: int, gram: int):
+        """Begin, end, text number, minimiser and hash of each stretch, about ``BLOCK`` bytes of text at a time."""
+        cut = np.append(np.flatnonzero(np.diff(self.at[:-1] // BLOCK, prepend=-1)), len(self.at) - 1)
+        found = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, U64)] * 2]
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
             first = self.at[a]
             data = self.data[first : self.at[b]]
-            begin, end, owner, low, slot = stretches(data, self.at[a : b + 1] - first, length, gram, slices, heavy)
-            text = arrays.span_hash(arrays.prefix_hash(data), begin, end)
-            found.append((begin + first, end + first, owner + a, low, slot, text))
+            begin, end, owner, low, text = stretches(data, self.at[a : b + 1] - first, length, gram)
+            found.append((begin + first, end + first, owner + a, low, text))
         return [np.concatenate(c) for c in zip(*found)]
 
     def shared_strings(self, length: int, gram: int, buckets: int, slices: int):
-        """Those stretches whose minimiser other texts have too, by the answers to :func:`_ask`."""
-        found = self.strings(length, gram, slices)
-        names = np.unique(found[3])
+        """Begin, end, text number, hash, slice and minimiser of those stretches whose minimiser
+        other texts have too, by the answers to :func:`_ask`.
+
+        Windows of a heavy minimiser go to slices by their own hash, so that no slice gets all of them.
+        """
+        found = self.strings(length, gram)
+        names, back = np.unique(found[3], return_inverse=True)
         code = np.zeros(len(names), np.uint8)
         answers = sorted((r["bucket"], r["codes"]) for r in self.column("known") or ())
         code[np.argsort(arrays.mix(names) % U64(buckets), kind="stable")] = _unzip([c for _, c in answers], np.uint8)
-        if (code == HEAVY).any():
-            found = self.strings(length, gram, slices, names[code == HEAVY])
-        keep = code[np.searchsorted(names, found[3])] > 0
-        return [x[keep] for x in found]
+        code = code[back]
+        begin, end, owner, low, text = (x[code > 0] for x in found)
+        code = code[code > 0]
+        slot = (arrays.mix(low) % U64(slices)).astype(np.int64)
+        hot = code == HEAVY
+        if hot.any():
+            alone = self._by_window(begin[hot], end[hot], owner[hot], low[hot], length, slices)
+            begin, end, owner, text, slot, low = (
+                np.concatenate([x[~hot], y]) for x, y in zip((begin, end, owner, text, slot, low), alone)
+            )
+        return begin, end, owner, text, slot, low
+
+    def _by_window(self, begin, end, owner, low, length: int, slices: int):
+        """The stretches cut where the slice of a window's own hash changes."""
+        start, of = _ranges(begin, end - begin - length + 1)
+        slot = (arrays.mix(arrays.hash_spans(self.data, start, start + length)) % U64(slices)).astype(np.int64)
+        head = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(slot, prepend=-1) != 0))
+        first = start[head]
+        stop = first + np.diff(np.append(head, len(start))) - 1 + length
+        text = arrays.hash_spans(self.data, first, stop)
+        return first, stop, owner[of[head]], text, slot[head], low[of[head]]
 
 
 def _rows(batches):
@@ -162,7 +189,7 @@ def _rows(batches):
 def _ask(batches, length, gram, buckets):
     """Per piece and bucket of minimisers: 32 bits of each, its windows in different strings, and if several texts have it."""
     for piece in _rows(batches):
-        begin, end, owner, low, _, text = piece.strings(length, gram)
+        begin, end, owner, low, text = piece.strings(length, gram)
         if not len(low):
             continue
         order = np.lexsort((text, low))
@@ -203,7 +230,7 @@ def _answer(table: pa.Table, length: int, slice_bytes: int) -> pa.Table:
 def _spread(batches, length, gram, buckets, slices):
     """The different shared strings of a piece with their smallest and largest key, per slice."""
     for piece in _rows(batches):
-        begin, end, owner, low, slot, text = piece.shared_strings(length, gram, buckets, slices)
+        begin, end, owner, text, slot, low = piece.shared_strings(length, gram, buckets, slices)
         if not len(begin):
             continue
         order = np.lexsort((text, low, slot))  # strings of one minimiser compress well together
@@ -489,7 +516,7 @@ def _found(piece: Piece, strings: list[np.ndarray], names: tuple[str, ...]):
     text = _unzip([r["string"] for r in replies], U64)
     columns = [_unzip([r[n] for r in replies], np.int64) for n in names]
     order = np.argsort(text, kind="stable")
-    first, last = (np.searchsorted(text[order], strings[5], side) for side in ("left", "right"))
+    first, last = (np.searchsorted(text[order], strings[3], side) for side in ("left", "right"))
     found, of = _ranges(first, last - first)
     return of, *(c[order[found]] for c in columns)
 

@@ -365,6 +365,43 @@ def test_a_heavy_minimiser_is_dealt_over_slices(spark):
     assert {r[0]: tuple(r)[1:] for r in got.collect()} == brute_repeats([(i, t.encode()) for i, t in rows], 50)
 
 
+def test_windows_of_a_heavy_minimiser_are_found_without_hashing_the_piece_again(monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdé ", k=n)) for n in (300, 0, 40, 5_000, 50, 90_000, 700, 20_000)]
+    texts += ["ab" * 400, texts[3]]
+    raw = [t.encode() for t in texts]
+    pack = lambda values, kind: [repeats._zip(np.array(values, kind))]
+    names = np.unique(repeats.stretches(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 50, 24)[3])
+    codes = np.arange(len(names)) % 3  # alone, in several texts, heavy
+    piece = repeats.Piece(pa.RecordBatch.from_pydict({
+        "piece": [0], "keys": pack(range(len(raw)), np.int64), "documents": pack(range(len(raw)), np.int64),
+        "lengths": pack([len(r) for r in raw], np.int64), "bytes": pack(np.frombuffer(b"".join(raw), np.uint8), np.uint8),
+        "known": [[{"bucket": 0, "codes": repeats._zip(codes.astype(np.uint8))}]],
+    }), 0)
+    hashed, plain = [], repeats.stretches
+    monkeypatch.setattr(repeats, "stretches", lambda data, *a: hashed.append(len(data)) or plain(data, *a))
+    begin, end, owner, text, slot, low = piece.shared_strings(50, 24, 1, 7)
+    assert sum(hashed) == len(piece.data)
+
+    def span(a, n):  # of equal bytes anywhere
+        return arrays.hash_spans(piece.data, np.array([a]), np.array([a + n]))[0]
+
+    got = Counter()
+    for a, b, o, t, s in zip(begin.tolist(), end.tolist(), owner.tolist(), text, slot.tolist()):
+        assert piece.at[o] <= a and b <= piece.at[o + 1] and t == span(a, b - a)
+        got.update({(i, s): 1 for i in range(a, b - 49)})
+    want = Counter()
+    for a, b in zip(piece.at[:-1].tolist(), piece.at[1:].tolist()):
+        grams = arrays.hash_spans(piece.data, np.arange(a, b - 23), np.arange(a, b - 23) + 24) if b - a >= 50 else []
+        for i in range(a, b - 49):
+            least = grams[i - a : i - a + 27].min()
+            code = codes[np.searchsorted(names, least)]
+            if code:
+                key = span(i, 50) if code == repeats.HEAVY else least
+                want[i, int(arrays.mix(np.array([key]))[0] % 7)] += 1
+    assert got == want
+
+
 def test_repeats_awkward_rows(spark):
     df = awkward(spark)
     got = repeats.remove_repeats(df)
