@@ -206,6 +206,31 @@ def test_lines_equal_brute_force(spark):
     assert texts == {d: "\n".join(t for k, t in enumerate(text.split("\n")) if got[d, k]) for d, text in docs}
 
 
+def test_lines_with_a_common_passage_are_not_all_compared(spark, monkeypatch):
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    passage = "".join(rng.choices(letters, k=70))
+    tails = ["".join(rng.choices(letters, k=60)) for _ in range(90)]
+    rows = [passage + t for t in tails]
+    rows += [passage + t[:-k] + "0" * k for t in tails[::9] for k in (1, 4, 9, 16)]
+    compared, plain = [], lines.materialize
+
+    def counted(df, label):
+        out = plain(df, label)
+        if label == "pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "materialize", counted)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.line_components(df).collect()}
+    sets = [{t[k : k + 8] for k in range(len(t) - 7)} for t in rows]
+    want = components(len(rows), lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    smallest = {c: min(got[i].line_id for i in range(len(rows)) if want[i] == c) for c in want}
+    assert {i: r.component for i, r in got.items()} == {i: smallest[c] for i, c in enumerate(want)}
+    assert sum(compared) < 5 * len(rows)
+
+
 def test_lines_that_differ_by_white_space(spark):
     rows = [(1, "one two three\r\n\r\nshort\r\n \t\r\nlast line\f"), (2, "one\ttwo  three\n\nshort\n\t\nLAST\x0b line")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
