@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from loanloom.llm import arrays, exact, graph, lines, minhash, repeats
 from tests.llm.data import awkward, near_copies
@@ -231,6 +232,53 @@ def test_lines_with_a_common_passage_are_not_all_compared(spark, monkeypatch):
     assert sum(compared) < 5 * len(rows)
 
 
+def test_lines_of_small_open_bands_are_compared_by_sketch_first(spark, monkeypatch):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for _ in range(15):  # six lines with a passage, unlike otherwise, and near copies of the first two
+        passage = "".join(rng.choices(letters, k=70))
+        unlike = [passage + "".join(rng.choices(letters, k=60)) for _ in range(6)]
+        rows += unlike + [t[:-k] + "0" * k for t in unlike[:2] for k in (2, 9)]
+    compared, plain = [], lines.materialize
+
+    def counted(df, label):
+        out = plain(df, label)
+        if label == "pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "materialize", counted)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.line_components(df).collect()}
+    sets = [{t[k : k + 8] for k in range(len(t) - 7)} for t in rows]
+    want = components(len(rows), lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    smallest = {c: min(got[i].line_id for i in range(len(rows)) if want[i] == c) for c in want}
+    assert {i: r.component for i, r in got.items()} == {i: smallest[c] for i, c in enumerate(want)}
+    assert compared[0] > 30 and compared[1] < 30
+
+
+def test_sketches_leave_out_no_linked_line(spark):
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, linked = [], []
+    for i in range(400):
+        one = "".join(rng.choices(letters, k=rng.randint(12, 300)))
+        two = one + "".join(rng.choices(letters, k=rng.randint(1, len(one) // 4 + 1)))
+        a, b = ({t[k : k + 8] for k in range(len(t) - 7)} for t in (one, two))
+        linked += [100 * len(a & b) >= 80 * len(a | b)]
+        rows += [(i, one), (i, two)]
+    hashes = "transform(sequence(1, octet_length(line) - 7), i -> xxhash64(substring(line, i, 8)))"
+    stored = spark.createDataFrame(rows, "pair long, text string").selectExpr("pair", "encode(text, 'UTF-8') as line")
+    sets = stored.selectExpr("pair", "octet_length(line) as size", f"array_distinct({hashes}) as h").select(
+        "pair", "size", F.size("h").alias("n"), F.expr(lines._SKETCH).alias("s")
+    )
+    x, y = sets.alias("x"), sets.alias("y")
+    met = x.join(y, (F.col("x.pair") == F.col("y.pair")) & (F.col("x.size") < F.col("y.size")) & lines._likely(80))
+    likely = {r.pair for r in met.select("x.pair").collect()}
+    assert {i for i, near in enumerate(linked) if near} <= likely and 100 < sum(linked) < 400
+
+
 def test_lines_that_differ_by_white_space(spark):
     rows = [(1, "one two three\r\n\r\nshort\r\n \t\r\nlast line\f"), (2, "one\ttwo  three\n\nshort\n\t\nLAST\x0b line")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
