@@ -279,6 +279,80 @@ def test_sketches_leave_out_no_linked_line(spark):
     assert {i for i, near in enumerate(linked) if near} <= likely and 100 < sum(linked) < 400
 
 
+def sketched(spark, rows):
+    """Distinct lines as :func:`lines.line_components` stores them: sizes, sketches, marks."""
+    hashes = "transform(sequence(1, octet_length(line) - 7), i -> xxhash64(substring(line, i, 8)))"
+    stored = spark.createDataFrame(rows, "pair long, text string").selectExpr("pair", "encode(text, 'UTF-8') as line")
+    return stored.selectExpr(
+        "pair", "xxhash64(line) as node", "line", "octet_length(line) as size", f"array_distinct({hashes}) as h"
+    ).select(
+        "pair", "node", "line", "size", F.size("h").alias("n"), F.expr(lines._SKETCH).alias("s")
+    ).select("*", *lines._marks())
+
+
+def test_marks_let_all_likely_lines_pass_and_few_others(spark):
+    rng = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for i in range(400):
+        one = "".join(rng.choices(letters, k=rng.randint(12, 300)))
+        rows += [(i, one), (i, one + "".join(rng.choices(letters, k=rng.randint(1, len(one) // 4 + 1))))]
+    sets = sketched(spark, rows)
+    x, y = sets.alias("x"), sets.alias("y")
+    for percent in (80, 60):
+        near = x.join(y, (F.col("x.pair") == F.col("y.pair")) & (F.col("x.size") < F.col("y.size")))
+        met = near.select("x.pair", lines._likely(percent).alias("likely"), lines._alike(percent).alias("alike")).collect()
+        assert len(met) == 400 and all(r.alike for r in met if r.likely) and sum(r.likely for r in met) > 100
+    other = x.join(y, F.col("x.pair") < F.col("y.pair")).where("greatest(x.n, y.n) > 48").select(
+        F.count_if(lines._alike(80)).alias("alike"), F.count(F.lit(1)).alias("all")
+    ).first()
+    assert other["alike"] < other["all"] / 1000
+
+
+def test_rare_shingles_meet_without_the_sets_of_their_lines(spark):
+    rng = random.Random(15)
+    one = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=130))
+    rows = [(k, one[: 130 - k] + "0" * k) for k in range(0, 40, 4)]
+    stored = sketched(spark, rows).withColumn("component", F.col("node"))
+    found = lines._rare_pairs(stored, 8, 80)
+    plan = found._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    for side in (plan.left(), plan.right()):
+        assert "item:bigint" in side.schema().simpleString() and "array" not in side.schema().simpleString()
+    node = {r.pair: r.node for r in stored.collect()}
+    sets = {node[i]: {t[k : k + 8] for k in range(len(t) - 7)} for i, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert want <= {(r.a, r.b) for r in found.collect()} and len(want) > 10
+
+
+def test_bands_travel_in_few_bits_and_texts_in_parts(spark, monkeypatch):
+    rng = random.Random(16)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    passage = "".join(rng.choices(letters, k=70))
+    tails = ["".join(rng.choices(letters, k=60)) for _ in range(30)]
+    rows = [passage + t for t in tails] + [passage + t[:-k] + "0" * k for t in tails[::5] for k in (1, 9, 16)]
+    seen, plain = {}, lines.materialize
+
+    def kept(df, label):
+        out = plain(df, label)
+        if label in ("bands", "shared"):
+            seen.setdefault(label, []).append(out.select("key", "stub").collect() if label == "bands" else out.count())
+        return out
+
+    monkeypatch.setattr(lines, "materialize", kept)
+    monkeypatch.setattr(lines, "FEW", 8)
+    monkeypatch.setattr(lines, "WHOLE", 0)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.line_components(df).collect()}
+    sets = [{t[k : k + 8] for k in range(len(t) - 7)} for t in rows]
+    want = components(len(rows), lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    smallest = {c: min(got[i].line_id for i in range(len(rows)) if want[i] == c) for c in want}
+    assert {i: r.component for i, r in got.items()} == {i: smallest[c] for i, c in enumerate(want)}
+    assert all(r.key % (1 << 16) == 0 and 0 <= r.stub < 1 << 40 for r in seen["bands"][0])
+    assert len(seen["shared"]) == lines.PARTS and sum(seen["shared"]) <= len(rows)
+
+
 def test_lines_that_differ_by_white_space(spark):
     rows = [(1, "one two three\r\n\r\nshort\r\n \t\r\nlast line\f"), (2, "one\ttwo  three\n\nshort\n\t\nLAST\x0b line")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
